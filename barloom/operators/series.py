@@ -24,7 +24,12 @@ BLOCK = "_block"
 HALO = "_halo"
 KEYS = [SERIES, BLOCK]
 
-BLOCK_ROWS = 512 * 512
+# Blocks are made of whole segments, the unit in which weighted means are summed
+# (functions.ewm). Windows order by segment before position: the same order, but
+# one sort then also serves the windows over segments.
+SEGMENT = "_segment"
+SEGMENT_ROWS = 512
+BLOCK_ROWS = 512 * SEGMENT_ROWS
 
 # monotonically_increasing_id() holds the partition number above bit 33 and the
 # row number within the partition below.
@@ -92,18 +97,23 @@ def in_blocks_with_halo(df: DataFrame, lookback: int, block_rows: int = BLOCK_RO
     """Blocks, each preceded by copies of the ``lookback`` rows before it."""
     if lookback > block_rows:
         raise ValueError(f"lookback {lookback} exceeds block_rows {block_rows}")
+    if block_rows % SEGMENT_ROWS:
+        raise ValueError(f"block_rows must be a multiple of {SEGMENT_ROWS}")
     own = F.floor((F.col(POS) - 1) / block_rows).cast("long")
     at_end = (F.col(POS) - 1) % block_rows >= block_rows - lookback
     blocks = F.when(at_end, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.withColumn(BLOCK, F.explode(blocks)).withColumn(HALO, F.col(BLOCK) != own)
+    segment = F.floor((F.col(POS) - 1) / SEGMENT_ROWS).cast("long")
+    return df.withColumn(BLOCK, F.explode(blocks)).withColumns(
+        {HALO: F.col(BLOCK) != own, SEGMENT: segment}
+    )
 
 
 def without_halo(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(HALO)).drop(HALO)
+    return df.where(~F.col(HALO)).drop(HALO, SEGMENT)
 
 
 def block_window() -> WindowSpec:
-    return Window.partitionBy(*KEYS).orderBy(POS)
+    return Window.partitionBy(*KEYS).orderBy(SEGMENT, POS)
 
 
 def carried_values(
