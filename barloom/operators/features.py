@@ -17,6 +17,7 @@ from barloom import config
 from barloom.functions import rolling as r
 from barloom.functions.ewm import LOOKBACK, Ewm, stale_means
 from barloom.functions.numeric import finite, safe_div
+from barloom.functions.rolling import Rolling
 from barloom.operators.series import (
     BLOCK_ROWS, KEYS, POS, block_window, carried_values, in_blocks_with_halo, without_halo,
 )
@@ -102,67 +103,89 @@ def _calendar() -> dict[str, Column]:
     }
 
 
-def _price(columns: set[str], windows: Sequence[int]) -> dict[str, Column]:
-    w = block_window()
+def _rollings(use: Sequence[str], windows: tuple[int, ...]) -> dict[str, Rolling]:
+    """The rolling statistics the families need, by source column."""
+    out: dict[str, Rolling] = {}
+    if "price" in use:
+        out["Open"] = Rolling("Open", windows, order=2, extremes=True)
+    if "volume" in use:
+        volume = tuple(sorted({*windows, config.VOLUME_RATIO_WINDOW}))
+        out["Volume"] = Rolling("Volume", volume, order=2, extremes=True)
+    if "marketcap" in use:
+        out["Marketcap"] = Rolling("Marketcap", windows, order=2)
+    if "technical" in use:
+        close = tuple(sorted({*config.TREND_WINDOWS, config.BOLLINGER_WINDOW}))
+        out["Close"] = Rolling("Close", close, order=2)
+        out["_gain"] = Rolling("_gain", (config.RSI_WINDOW,))
+        out["_loss"] = Rolling("_loss", (config.RSI_WINDOW,))
+    if "statistical" in use:
+        out["_return"] = Rolling("_return", windows, order=4)
+    return out
+
+
+def _price(have: set[str], windows: Sequence[int], x: Rolling) -> dict[str, Column]:
     out: dict[str, Column] = {}
-    if {"High", "Low"} <= columns:
+    if {"High", "Low"} <= have:
         high, low = F.col("High"), F.col("Low")
         out["High_Low_Spread"] = high - low
         out["High_Low_Ratio"] = safe_div(high, low)
         out["Price_Range"] = safe_div(high - low, F.col("Open"))
-    x = F.col("Open")
     for n in windows:
-        mean = r.rolling_mean(x, w, n)
-        out[f"Open_MA_{n}"] = mean
-        out[f"Open_Std_{n}"] = r.rolling_sd(x, w, n)
-        out[f"Open_Min_{n}"] = r.rolling_min(x, w, n)
-        out[f"Open_Max_{n}"] = r.rolling_max(x, w, n)
-        out[f"Open_MA_Ratio_{n}"] = safe_div(x, mean)
+        out[f"Open_MA_{n}"] = r.mean(x, n)
+        out[f"Open_Std_{n}"] = r.sd(x, n)
+        out[f"Open_Min_{n}"] = r.minimum(x, n)
+        out[f"Open_Max_{n}"] = r.maximum(x, n)
+        out[f"Open_MA_Ratio_{n}"] = safe_div(F.col("Open"), r.mean(x, n))
     return out
 
 
-def _volume(windows: Sequence[int]) -> dict[str, Column]:
-    w, x = block_window(), F.col("Volume")
-    out = {"Volume_Ratio": safe_div(x, r.rolling_mean(x, w, config.VOLUME_RATIO_WINDOW))}
+def _volume(windows: Sequence[int], x: Rolling) -> dict[str, Column]:
+    out = {"Volume_Ratio": safe_div(F.col("Volume"), r.mean(x, config.VOLUME_RATIO_WINDOW))}
     for n in windows:
-        out[f"Volume_MA_{n}"] = r.rolling_mean(x, w, n)
-        out[f"Volume_Std_{n}"] = r.rolling_sd(x, w, n)
-        out[f"Volume_Min_{n}"] = r.rolling_min(x, w, n)
-        out[f"Volume_Max_{n}"] = r.rolling_max(x, w, n)
+        out[f"Volume_MA_{n}"] = r.mean(x, n)
+        out[f"Volume_Std_{n}"] = r.sd(x, n)
+        out[f"Volume_Min_{n}"] = r.minimum(x, n)
+        out[f"Volume_Max_{n}"] = r.maximum(x, n)
     return out
 
 
-def _marketcap(windows: Sequence[int]) -> dict[str, Column]:
-    w, x = block_window(), F.col("Marketcap")
+def _marketcap(windows: Sequence[int], x: Rolling) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for n in windows:
-        out[f"Marketcap_MA_{n}"] = r.rolling_mean(x, w, n)
-        out[f"Marketcap_Std_{n}"] = r.rolling_sd(x, w, n)
+        out[f"Marketcap_MA_{n}"] = r.mean(x, n)
+        out[f"Marketcap_Std_{n}"] = r.sd(x, n)
     return out
 
 
-def _technical() -> dict[str, Column]:
-    w, x = block_window(), F.col("Close")
-    out = {f"SMA_{n}": r.rolling_mean(x, w, n) for n in config.TREND_WINDOWS}
-    middle = r.rolling_mean(x, w, config.BOLLINGER_WINDOW)
-    reach = r.rolling_sd(x, w, config.BOLLINGER_WINDOW) * config.BOLLINGER_SDS
+def _technical(x: Rolling, gains: Rolling, losses: Rolling) -> dict[str, Column]:
+    out = {f"SMA_{n}": r.mean(x, n) for n in config.TREND_WINDOWS}
+    out |= {f"EMA_{n}": F.col(f"ewm{n}") for n in config.TREND_WINDOWS}
+    n = config.RSI_WINDOW
+    gain, loss = r.mean(gains, n), r.mean(losses, n)
+    # No loss at all is the top of the scale; neither gain nor loss is undefined.
+    strength = 100 - safe_div(F.lit(100.0), safe_div(gain, loss) + 1)
+    out["RSI_14"] = F.when((loss == 0) & (gain > 0), 100.0).otherwise(strength)
+    out["MACD_Histogram"] = F.col("MACD") - F.col("MACD_Signal")
+    middle = r.mean(x, config.BOLLINGER_WINDOW)
+    reach = r.sd(x, config.BOLLINGER_WINDOW) * config.BOLLINGER_SDS
+    lower, width = middle - reach, (middle + reach) - (middle - reach)
     out["BB_Upper"] = middle + reach
     out["BB_Middle"] = middle
-    out["BB_Lower"] = middle - reach
-    # The first row and rows next to a missing close have no difference; they
-    # count as neither gain nor loss.
-    step = x - F.lag(x).over(w)
-    out["_gain"] = F.when(step > 0, step).otherwise(0.0)
-    out["_loss"] = F.when(step < 0, -step).otherwise(0.0)
+    out["BB_Lower"] = lower
+    out["BB_Width"] = width
+    out["BB_Position"] = safe_div(F.col("Close") - lower, width)
     return out
 
 
-def _rsi() -> Column:
-    w, n = block_window(), config.RSI_WINDOW
-    gain, loss = r.rolling_mean(F.col("_gain"), w, n), r.rolling_mean(F.col("_loss"), w, n)
-    # No loss at all is the top of the scale; neither gain nor loss is undefined.
-    ratio = safe_div(gain, loss)
-    return F.when((loss == 0) & (gain > 0), 100.0).otherwise(100 - safe_div(F.lit(100.0), ratio + 1))
+def _statistical(windows: Sequence[int], x: Rolling) -> dict[str, Column]:
+    out: dict[str, Column] = {}
+    for n in windows:
+        out[f"Volatility_{n}"] = r.sd(x, n)
+        out[f"Skewness_{n}"] = r.skew(x, n)
+        out[f"Kurtosis_{n}"] = r.kurt(x, n)
+    for n in config.TREND_WINDOWS:
+        out[f"Momentum_{n}"] = r.change(F.col("Close"), F.col(f"_close_{n}"))
+    return out
 
 
 def _trend_means() -> list[Ewm]:
@@ -185,10 +208,7 @@ def _add_means(df: DataFrame, block_rows: int) -> DataFrame:
     fast, slow = config.MACD_SPANS
     df = df.withColumn("MACD", F.col(f"ewm{fast}") - F.col(f"ewm{slow}"))
     signal = Ewm("signal", "MACD", config.MACD_SIGNAL_SPAN)
-    df = df.withColumns(signal.sums()).withColumn("MACD_Signal", signal.mean(block_rows))
-    return df.withColumns({f"EMA_{n}": F.col(f"ewm{n}") for n in config.TREND_WINDOWS}).withColumn(
-        "MACD_Histogram", F.col("MACD") - F.col("MACD_Signal")
-    )
+    return df.withColumns(signal.sums()).withColumn("MACD_Signal", signal.mean(block_rows))
 
 
 def _changes(use: Sequence[str], columns: set[str]) -> dict[str, str]:
@@ -242,52 +262,49 @@ def add_features(
     if technical:
         df = df.join(stale_means(bars, _trend_means(), block_rows), KEYS, "left")
 
+    # What a row needs of the rows before it: padded values, single lags.
     w = block_window()
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    close = F.col("Close")
     step = {
-        f"{PAD}{c}": F.coalesce(
-            F.last(c, ignorenulls=True).over(so_far), F.col(f"_carry_{c}")
-        )
+        f"{PAD}{c}": F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"_carry_{c}"))
         for c in changes
     }
-    if "price" in use:
-        step |= _price(columns, windows)
-    if "volume" in use:
-        step |= _volume(windows)
-    if "marketcap" in use:
-        step |= _marketcap(windows)
-    if "technical" in use:
-        step |= _technical()
-    if "statistical" in use:
-        close = F.col("Close")
-        for n in config.TREND_WINDOWS:
-            step[f"Momentum_{n}"] = r.change(close, F.lag(close, n).over(w))
-    df = df.withColumns(step)
-
-    step = {}
-    for c, name in changes.items():
-        before = F.lag(f"{PAD}{c}").over(w)
-        step[name] = finite(r.change(F.col(f"{PAD}{c}"), before))
     if technical:
-        band = F.col("BB_Upper") - F.col("BB_Lower")
-        step["RSI_14"] = _rsi()
-        step["BB_Width"] = band
-        step["BB_Position"] = safe_div(F.col("Close") - F.col("BB_Lower"), band)
+        step["_step"] = close - F.lag(close).over(w)
+    if "statistical" in use:
+        step |= {f"_close_{n}": F.lag(close, n).over(w) for n in config.TREND_WINDOWS}
     if step:
         df = df.withColumns(step)
 
-    if "statistical" in use:
-        ret = F.col("_return")
-        step = {}
-        for n in windows:
-            step[f"Volatility_{n}"] = r.rolling_sd(ret, w, n)
-            step[f"Skewness_{n}"] = r.rolling_skew(ret, w, n)
-            step[f"Kurtosis_{n}"] = r.rolling_kurt(ret, w, n)
+    step = {
+        name: finite(r.change(F.col(f"{PAD}{c}"), F.lag(f"{PAD}{c}").over(w)))
+        for c, name in changes.items()
+    }
+    if technical:
+        # The first row and rows next to a missing close have no difference;
+        # they count as neither gain nor loss.
+        step["_gain"] = F.when(F.col("_step") > 0, F.col("_step")).otherwise(0.0)
+        step["_loss"] = F.when(F.col("_step") < 0, -F.col("_step")).otherwise(0.0)
+    if step:
         df = df.withColumns(step)
+
     if technical:
         df = _add_means(df, block_rows)
+    rolls = _rollings(use, tuple(windows))
+    df = without_halo(r.add_rolling(df, list(rolls.values())))
 
-    df = without_halo(df)
+    made: dict[str, Column] = {}
+    if "price" in use:
+        made |= _price(columns, windows, rolls["Open"])
+    if "volume" in use:
+        made |= _volume(windows, rolls["Volume"])
+    if "marketcap" in use:
+        made |= _marketcap(windows, rolls["Marketcap"])
     if "calendar" in use:
-        df = df.withColumns(_calendar())
-    return df.select(*inputs, *names)
+        made |= _calendar()
+    if technical:
+        made |= _technical(rolls["Close"], rolls["_gain"], rolls["_loss"])
+    if "statistical" in use:
+        made |= _statistical(windows, rolls["_return"])
+    return df.select(*inputs, *[made[c].alias(c) if c in made else F.col(c) for c in names])
