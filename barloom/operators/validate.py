@@ -5,9 +5,9 @@ the order of dates need their own passes, since they compare rows with each
 other. All of them reduce map-side, so a symbol with most of the rows costs its
 tasks no more than the others.
 
-Report columns: ``Symbol, check, item, violations, evaluated, passed``. A count
-is always reported; ``evaluated`` is false where the rules skip the check because
-an earlier one failed, and ``passed`` is then NULL.
+Report columns: ``Symbol, check, item, violations, status``. The count is always
+reported; ``status`` is pass, fail, or skipped where the rules leave the check
+out because an earlier one failed.
 """
 
 from functools import reduce
@@ -159,11 +159,12 @@ def quality_report(
         rows.append(("temporal_consistency", "unreadable", at["date_data", "invalid"], None))
     cells = []
     for check, item, c, gate in rows:
-        evaluated = F.lit(True) if gate is None else gate
+        status = F.when(c == 0, "pass").otherwise("fail")
+        if gate is not None:
+            status = F.when(gate, status).otherwise("skipped")
         cells.append(F.struct(
             F.lit(check).alias("check"), F.lit(item).alias("item"),
-            c.cast("long").alias("violations"), evaluated.alias("evaluated"),
-            F.when(evaluated, c == 0).alias("passed"),
+            c.cast("long").alias("violations"), status.alias("status"),
         ))
     return wide.select("Symbol", F.inline(F.array(*cells)))
 
@@ -179,12 +180,12 @@ def quality_summary(report: DataFrame) -> DataFrame:
 
     Missing values are one issue however many columns have them.
     """
-    failed = F.col("evaluated") & ~F.col("passed")
+    failed = F.col("status") == "fail"
     label = F.when(F.col("check") == "missing_values", F.col("check")).otherwise(
         F.concat_ws(":", "check", "item")
     )
     flags = [
-        F.bool_and(F.when(F.col("check") == c, F.coalesce("passed", F.lit(True)))).alias(c)
+        F.bool_and(F.when(F.col("check") == c, ~failed)).alias(c)
         for c in CHECKS
     ]
     return report.groupBy("Symbol").agg(
