@@ -35,7 +35,8 @@ def encode(
     only numeric columns kept (beside the working columns and ``split``).
 
     Codes are looked up once per block and value and joined back on the block, so
-    a frequent value does not end in one join task.
+    a frequent value does not end in one join task. The looked-up codes are stored
+    to let the join see their size.
     """
     if "Date" in df.columns:
         df = df.withColumn("Date", F.unix_date(F.col("Date").cast("date")).cast("double"))
@@ -46,6 +47,7 @@ def encode(
             F.col("value").alias(c), F.col("code").alias("_code")
         )
         seen = df.where(F.col(c).isNotNull()).select(*KEYS, c).distinct().join(code, c)
+        seen = stored(seen, "seen")
         df = df.join(seen, [*KEYS, c], "left").withColumn(
             c, F.coalesce("_code", F.lit(-1.0))
         ).drop("_code")

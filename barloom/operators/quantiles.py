@@ -3,7 +3,7 @@
 ``percentile`` keeps every distinct value of a group in one task. That is fine
 for a short series and is what is used for it. For a long one, a hash sample of
 about ``sample_rows`` rows gives a bracket around each quantile; one more pass
-counts the values outside and keeps those inside (under 2 % of the rows), and
+counts the values below and keeps those inside (a few percent of the rows), and
 the wanted ranks are looked up among them by range partition. The sample only
 chooses where to look: the counts are exact, and where a rank falls outside its
 bracket the search is repeated without one.
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.numeric import count_where
 from barloom.operators.series import BLOCK_ROWS, POS, SERIES, join_per_series
 from barloom.session import stored
 
@@ -25,8 +26,8 @@ def quantile_name(column: str, i: int) -> str:
 
 
 def _bracket(p: float, sample_rows: int) -> tuple[float, float]:
-    """Sample probabilities that enclose the p-quantile, eight deviations wide."""
-    reach = 8 * (p * (1 - p) / sample_rows) ** 0.5 + 2 / sample_rows
+    """Sample probabilities that enclose the p-quantile, six deviations each way."""
+    reach = 6 * (p * (1 - p) / sample_rows) ** 0.5 + 2 / sample_rows
     return max(0.0, p - reach), min(1.0, p + reach)
 
 
@@ -100,60 +101,55 @@ def _ranked(rows, groups, columns, probs, attach, bracketed: bool):
     where a rank lies outside its bracket."""
     count = len(probs)
     edges = groups.select(SERIES, "_n", *[f"_p_{c}" for c in columns])
-    cells, items = [], []
-    for c in columns:
-        for i, p in enumerate(probs):
-            x = F.col(c)
-            low, high = F.col(f"_p_{c}")[count + 2 * i], F.col(f"_p_{c}")[count + 2 * i + 1]
-            inside = (x >= low) & (x <= high) if bracketed else x.isNotNull()
-            outside = (x < low if p <= 0.5 else x > high) if bracketed else F.lit(False)
-            cells.append(F.struct(
-                F.lit(len(items)).alias("_item"),
-                F.when(inside, x.cast("double")).alias("_value"),
-                F.coalesce(outside, F.lit(False)).alias("_outside"),
-            ))
-            items.append((c, i, p))
-    kept = F.filter(F.array(*cells), lambda s: s["_value"].isNotNull() | s["_outside"])
+    items = [(c, i, p) for c in columns for i, p in enumerate(probs)]
+    cells, counts = [], []
+    for k, (c, i, p) in enumerate(items):
+        x = F.col(c)
+        low, high = F.col(f"_p_{c}")[count + 2 * i], F.col(f"_p_{c}")[count + 2 * i + 1]
+        inside = (x >= low) & (x <= high) if bracketed else x.isNotNull()
+        cells.append(F.when(inside, F.struct(
+            F.lit(k).alias("_item"), x.cast("double").alias("_value")
+        )))
+        below = count_where(x < low) if bracketed else F.lit(0).cast("long")
+        counts.append(below.alias(f"_below_{k}"))
     near = attach(rows, edges)
-    # Equal values and the values outside collapse before the shuffle.
+    # Equal values collapse before the shuffle.
     tallies = stored(
-        near.select(SERIES, F.inline(kept))
+        near.select(SERIES, F.inline(F.array_compact(F.array(*cells))))
         .groupBy(SERIES, "_item", "_value").agg(F.count(F.lit(1)).alias("_count"))
         .repartitionByRange(SERIES, "_item", "_value")
         .withColumn("_part", F.spark_partition_id()),
         "tallies",
     )
-    known = near.groupBy(SERIES).agg(*[F.count(c).alias(f"_known_{c}") for c in columns])
+    known = near.groupBy(SERIES).agg(
+        *[F.count(c).alias(f"_known_{c}") for c in columns], *counts
+    )
     per_item = F.array(*[
-        F.struct(F.lit(k).alias("_item"), F.lit(p).alias("_p"), F.col(f"_known_{c}").alias("_known"))
+        F.struct(
+            F.lit(k).alias("_item"), F.lit(p).alias("_p"),
+            F.col(f"_known_{c}").alias("_known"), F.col(f"_below_{k}").alias("_below"),
+        )
         for k, (c, i, p) in enumerate(items)
     ])
-    totals = tallies.groupBy(SERIES, "_item").agg(
-        F.sum(F.when(F.col("_value").isNull(), F.col("_count")).otherwise(0)).alias("_out"),
-        F.sum(F.when(F.col("_value").isNotNull(), F.col("_count")).otherwise(0)).alias("_in"),
-    )
-    before = F.when(F.col("_p") <= 0.5, F.col("_out")).otherwise(
-        F.col("_known") - F.col("_out") - F.col("_in")
-    )
+    totals = tallies.groupBy(SERIES, "_item").agg(F.sum("_count").alias("_in"))
     at = F.col("_p") * (F.col("_known") - 1)
     targets = stored(
         known.select(SERIES, F.inline(per_item)).where("_known > 0")
-        .join(totals, [SERIES, "_item"], "left").fillna(0, ["_out", "_in"])
+        .join(totals, [SERIES, "_item"], "left").fillna(0, ["_in"])
         .select(
             SERIES, "_item", "_in", (at - F.floor(at)).alias("_share"),
-            (F.floor(at) + 1 - before).alias("_k0"),
-            (F.least(F.floor(at) + 2, F.col("_known")) - before).alias("_k1"),
+            (F.floor(at) + 1 - F.col("_below")).alias("_k0"),
+            (F.least(F.floor(at) + 2, F.col("_known")) - F.col("_below")).alias("_k1"),
         ),
         "targets",
     )
     missed = targets.where("_k0 < 1 OR _k1 > _in").select(SERIES).distinct()
 
-    values = tallies.where(F.col("_value").isNotNull())
     earlier = Window.partitionBy(SERIES, "_item").orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
     hits = (
-        values.groupBy(SERIES, "_item", "_part").agg(F.sum("_count").alias("_sum"))
+        tallies.groupBy(SERIES, "_item", "_part").agg(F.sum("_count").alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
         .join(targets.drop("_in"), [SERIES, "_item"])
         .where("_before < _k1 AND _before + _sum >= _k0")
@@ -163,7 +159,7 @@ def _ranked(rows, groups, columns, probs, attach, bracketed: bool):
         Window.unboundedPreceding, 0
     )
     upto = F.col("_before") + F.sum("_count").over(chunk)
-    placed = values.join(hits, [SERIES, "_item", "_part"]).withColumn("_upto", upto)
+    placed = tallies.join(hits, [SERIES, "_item", "_part"]).withColumn("_upto", upto)
 
     def value_at(k: str) -> Column:
         covers = (F.col("_upto") >= F.col(k)) & (F.col("_upto") - F.col("_count") < F.col(k))

@@ -130,13 +130,17 @@ def repair(
     fit_scope: str = "all",
     block_rows: int = BLOCK_ROWS,
     sample_rows: int = SAMPLE_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """All repair steps. With ``bounds`` given (scoring) nothing is fitted.
 
     The table is stored once: bounds, clipping and filling all read it again, and
-    computing its features anew each time would cost more.
+    computing its features anew each time would cost more. ``store=False`` is for
+    a table that is stored already.
     """
-    table = stored(drop_infinities(df), "features")
+    table = drop_infinities(df)
+    if store:
+        table = stored(table, "features")
     if bounds is None:
         bounds = clip_bounds(
             table, fit_scope=fit_scope, block_rows=block_rows, sample_rows=sample_rows

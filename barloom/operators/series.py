@@ -166,13 +166,14 @@ def spread_over_blocks(per_series: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     return per_series.withColumn(BLOCK, F.explode(blocks))
 
 
-def join_per_series(
-    df: DataFrame, per_series: DataFrame, block_rows: int = BLOCK_ROWS, how: str = "inner"
-) -> DataFrame:
-    """Add the columns of a per-series table (with ``_n``) to every row."""
-    return in_blocks(df, block_rows).join(
-        spread_over_blocks(per_series, block_rows), KEYS, how
-    ).drop(BLOCK)
+def join_per_series(df: DataFrame, per_series: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add the columns of a per-series table (with ``_n``) to every row.
+
+    The table is stored first, so its size is known when the join is planned:
+    below ``spark.sql.autoBroadcastJoinThreshold`` the rows are not shuffled.
+    """
+    per_block = stored(spread_over_blocks(per_series, block_rows), "per_block")
+    return in_blocks(df, block_rows).join(per_block, KEYS).drop(BLOCK)
 
 
 def drop_working_columns(df: DataFrame, keep: Callable[[str], bool] = lambda c: False) -> DataFrame:

@@ -27,9 +27,11 @@ def add_split(
     df: DataFrame,
     ratios: tuple[float, float, float] = config.SPLIT_RATIOS,
     block_rows: int = BLOCK_ROWS,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``split``: the first 60 % of each series train, the next 20 %
-    validation, the rest test."""
+    validation, the rest test. ``lengths`` saves counting a table whose series
+    lengths are known (see ``series_lengths``)."""
     check_ratios(ratios)
     n = F.col("_n")
     split = (
@@ -37,7 +39,8 @@ def add_split(
         .when(F.col(POS) <= validation_end(n, ratios), PARTS[1])
         .otherwise(PARTS[2])
     )
-    return join_per_series(df, series_lengths(df), block_rows).withColumn("split", split).drop("_n")
+    lengths = series_lengths(df) if lengths is None else lengths
+    return join_per_series(df, lengths, block_rows).withColumn("split", split).drop("_n")
 
 
 def split_counts(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from barloom.operators.features import FAMILIES, add_features
 from barloom.operators.prepare import Preprocessor
 from barloom.operators.repair import clip_bounds, drop_infinities, repair
 from barloom.operators.report import pipeline_summary
-from barloom.operators.series import BLOCK_ROWS
+from barloom.operators.series import BLOCK_ROWS, series_lengths
 from barloom.operators.split import add_split
 from barloom.operators.validate import quality_report
 from barloom.session import stored
@@ -62,8 +62,9 @@ def prepare_bars(
     )
     bounds = stored(clip_bounds(made, fit_scope=fit_scope, ratios=ratios, block_rows=block_rows),
                     "bounds")
-    fixed = repair(made, bounds=bounds, block_rows=block_rows)
-    features = stored(add_split(fixed, ratios, block_rows), "split")
+    fixed = repair(made, bounds=bounds, block_rows=block_rows, store=False)
+    split = add_split(fixed, ratios, block_rows, lengths=series_lengths(made))
+    features = stored(split, "split")
     preprocessor = Preprocessor.fit(features.where(F.col("split") == "train"), target, scale)
     return Prepared(
         report=report,
