@@ -1,7 +1,7 @@
 """Exact quantiles of many columns, per series or of the whole table.
 
-``percentile`` keeps every distinct value of a group in one task. That is fine
-for a short series and is what is used for it. For a long one, a hash sample of
+Sorting the values of a group takes them all into one task. That is fine for a
+short series and is what is done with it. For a long one, a hash sample of
 about ``sample_rows`` rows gives a bracket around each quantile; one more pass
 counts the values below and keeps those inside (a few percent of the rows), and
 the wanted ranks are looked up among them by range partition. The sample only
@@ -86,10 +86,31 @@ def exact_quantiles(
 
 
 def _percentiles(rows: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    return rows.groupBy(SERIES).agg(
-        F.max(POS).alias("_n"),
-        *[F.percentile(c, F.array(*map(F.lit, probs))).alias(f"_p_{c}") for c in columns],
+    """Linear quantiles from the sorted values of each group, as arrays ``_p_<c>``.
+
+    Groups have at most about SAMPLE_ROWS rows here. One list of row arrays per
+    group is several times faster than a ``percentile`` hash map per column.
+    """
+    cells = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    grouped = rows.groupBy(SERIES).agg(
+        F.max(POS).alias("_n"), F.expr(f"collect_list(array({cells}))").alias("_rows")
     )
+    lists = grouped.select(SERIES, "_n", *[
+        F.expr(
+            f"sort_array(filter(transform(_rows, r -> r[{k}]), v -> v IS NOT NULL)) AS `_s_{c}`"
+        )
+        for k, c in enumerate(columns)
+    ])
+
+    def quantile(c: str, p: float) -> str:
+        values, last = f"`_s_{c}`", f"(size(`_s_{c}`) - 1)"
+        low = f"CAST(floor({last} * {p!r}D) AS INT)"
+        v0, v1 = f"get({values}, {low})", f"get({values}, least({low} + 1, {last}))"
+        return f"{v0} + ({v1} - {v0}) * ({last} * {p!r}D - {low})"
+
+    return lists.select(SERIES, "_n", *[
+        F.expr(f"array({', '.join(quantile(c, p) for p in probs)}) AS `_p_{c}`") for c in columns
+    ])
 
 
 def _pick(columns: Sequence[str], count: int) -> list[Column]:

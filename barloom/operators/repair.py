@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom import config
-from barloom.functions.numeric import finite
 from barloom.operators.quantiles import SAMPLE_ROWS, exact_quantiles, quantile_name
 from barloom.operators.series import (
     BLOCK, BLOCK_ROWS, KEYS, POS, SERIES, in_blocks, join_per_series, series_lengths,
@@ -25,7 +24,10 @@ from barloom.session import stored
 
 def drop_infinities(df: DataFrame) -> DataFrame:
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: finite(F.col(c)) for c in floats if not c.startswith("_")})
+    return df.withColumns({
+        c: F.expr(f"CASE WHEN NOT isnan(`{c}`) AND abs(`{c}`) <> double('Infinity') THEN `{c}` END")
+        for c in floats if not c.startswith("_")
+    })
 
 
 def clip_bounds(
@@ -71,8 +73,8 @@ def clip(df: DataFrame, bounds: DataFrame, block_rows: int = BLOCK_ROWS) -> Data
     df = join_per_series(df, per_series, block_rows)
 
     def clipped(c: str) -> Column:
-        x, low, high = F.col(c).cast("double"), F.col(f"_low_{c}"), F.col(f"_high_{c}")
-        return F.when(x < low, low).when(x > high, high).otherwise(x)
+        x, low, high = f"CAST(`{c}` AS DOUBLE)", f"`_low_{c}`", f"`_high_{c}`"
+        return F.expr(f"CASE WHEN {x} < {low} THEN {low} WHEN {x} > {high} THEN {high} ELSE {x} END")
 
     return df.withColumns({c: clipped(c) for c in columns}).drop(
         "_n", *[c for c in bounds.columns if c != SERIES]
