@@ -95,22 +95,24 @@ def _percentiles(rows: DataFrame, columns: Sequence[str], probs: Sequence[float]
     grouped = rows.groupBy(SERIES).agg(
         F.max(POS).alias("_n"), F.expr(f"collect_list(array({cells}))").alias("_rows")
     )
-    lists = grouped.select(SERIES, "_n", *[
-        F.expr(
-            f"sort_array(filter(transform(_rows, r -> r[{k}]), v -> v IS NOT NULL)) AS `_s_{c}`"
-        )
-        for k, c in enumerate(columns)
-    ])
-
-    def quantile(c: str, p: float) -> str:
-        values, last = f"`_s_{c}`", f"(size(`_s_{c}`) - 1)"
-        low = f"CAST(floor({last} * {p!r}D) AS INT)"
-        v0, v1 = f"get({values}, {low})", f"get({values}, least({low} + 1, {last}))"
-        return f"{v0} + ({v1} - {v0}) * ({last} * {p!r}D - {low})"
-
-    return lists.select(SERIES, "_n", *[
-        F.expr(f"array({', '.join(quantile(c, p) for p in probs)}) AS `_p_{c}`") for c in columns
-    ])
+    # All columns share one expression: a plan with one per column takes longer
+    # to optimize and compile than to run.
+    sorted_values = (
+        f"transform(sequence(0, {len(columns) - 1}), "
+        "k -> sort_array(filter(transform(_rows, r -> r[k]), v -> v IS NOT NULL)))"
+    )
+    wanted = ", ".join(f"{p!r}D" for p in probs)
+    quantiles = f"""transform(_sorted, s -> transform(array({wanted}), p ->
+        get(s, CAST(floor((size(s) - 1) * p) AS INT))
+        + (get(s, least(CAST(floor((size(s) - 1) * p) AS INT) + 1, size(s) - 1))
+           - get(s, CAST(floor((size(s) - 1) * p) AS INT)))
+        * ((size(s) - 1) * p - floor((size(s) - 1) * p))))"""
+    found = grouped.select(SERIES, "_n", F.expr(sorted_values).alias("_sorted")).select(
+        SERIES, "_n", F.expr(quantiles).alias("_found")
+    )
+    return found.select(
+        SERIES, "_n", *[F.expr(f"_found[{k}] AS `_p_{c}`") for k, c in enumerate(columns)]
+    )
 
 
 def _pick(columns: Sequence[str], count: int) -> list[Column]:
