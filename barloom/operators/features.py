@@ -19,7 +19,7 @@ from barloom.functions.ewm import LOOKBACK, Ewm, stale_means
 from barloom.functions.numeric import finite, safe_div
 from barloom.functions.rolling import Rolling
 from barloom.operators.series import (
-    BLOCK_ROWS, KEYS, POS, block_window, carried_values, in_blocks_with_halo, without_halo,
+    BLOCK_ROWS, KEYS, block_window, carried_values, in_blocks_with_halo, without_halo,
 )
 from barloom.schema import parse_date
 

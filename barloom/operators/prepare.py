@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.quantiles import SAMPLE_ROWS, exact_quantiles, quantile_name
-from barloom.operators.series import BLOCK_ROWS, KEYS, POS, SERIES, in_blocks, number_rows
+from barloom.operators.series import BLOCK_ROWS, KEYS, POS, in_blocks, number_rows
 from barloom.schema import numeric_columns
 from barloom.session import stored
 

@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom import config
 from barloom.functions.ewm import LOOKBACK

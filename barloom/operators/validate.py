@@ -12,14 +12,14 @@ out because an earlier one failed.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom import config
 from barloom.functions.numeric import count_where
 from barloom.operators.series import (
-    BLOCK_ROWS, POS, block_window, in_blocks_with_halo, number_rows, without_halo,
+    BLOCK_ROWS, block_window, in_blocks_with_halo, number_rows, without_halo,
 )
 from barloom.schema import BARS, nan_to_null, parse_date
 

@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from barloom.operators.clean import clean_bars
 from barloom.operators.evaluate import comparison, metrics, top_features
-from barloom.operators.features import CALENDAR, FAMILIES, add_features, feature_names
+from barloom.operators.features import CALENDAR, add_features, feature_names
 from barloom.operators.persist import load_model, model_info, save_model
-from barloom.operators.prepare import Preprocessor, Statistics, category_codes, encode
+from barloom.operators.prepare import Statistics, category_codes, encode
 from barloom.operators.repair import clip, clip_bounds, fill_gaps, repair
 from barloom.operators.report import feature_classes, feature_summary, pipeline_summary
 from barloom.operators.score import check_requests, score
 from barloom.operators.series import POS, drop_working_columns, with_known_positions
 from barloom.operators.split import (
-    PARTS, add_fold, add_split, fold_counts, split_counts,
+    add_fold, add_split, fold_counts, split_counts,
 )
 from barloom.operators.train import cross_validate, cv_summary, grid_search, importances, predict, train
 from barloom.operators.validate import quality_report, quality_summary, unreadable_values

@@ -1,6 +1,5 @@
 """The registered queries in SQL, for comparison on the same tables."""
 
-from barloom import config
 from barloom.operators.features import FAMILIES, feature_names
 from barloom.operators.report import CLASS_WORDS
 from barloom.sources.derived import BAR_COLUMNS
