@@ -6,13 +6,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import packing, token_files
+from barloom.llm import packing, pieces, quality_model, token_files, toxicity
+from barloom.llm.labelled import remainder
 from barloom.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(f: Query) -> Query:
@@ -30,6 +32,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op3_toxicity(spark, sf):
+    """Toxicity of every document and how many of its sentences offend."""
+    docs, held_out = table(spark, sf, "documents"), remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs, table(spark, sf, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
+        F.size("offending").cast("long").alias("n_offending"))
+
+
 @query
 def op4_token_files(spark, sf):
     """Documents read back from Arrow files of equal-length sequences."""
@@ -39,6 +52,22 @@ def op4_token_files(spark, sf):
     return token_files.read_documents(written)
 
 
+@query
+def op7_quality(spark, sf):
+    """Quality of every document."""
+    docs, held_out = table(spark, sf, "documents"), remainder(F.col("doc_id"), 3) == 1
+    model = quality_model.train(docs, table(spark, sf, "labels"), ~held_out)
+    return quality_model.add_score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality_model.KEEP_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op9_pieces(spark, sf):
+    """Ids of every document and whether they give its text back."""
+    return pieces.round_trip(table(spark, sf, "documents"), tokenizer_file(PIECE_MODEL))
+
+
 @query
 def op10_packing(spark, sf):
     """Pieces of power-of-two length, each a sequence of its own."""

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -104,3 +105,16 @@ def map_texts(docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 yield done
 
     return docs.mapInArrow(run, schema)
+
+
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A column name that ``docs`` doesn't have yet (names differ in more than case)."""
+    used = {c.lower() for c in docs.columns}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
