@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import packing, pieces, quality_model, token_files, toxicity
+from barloom.llm import (
+    line_windows, merkle, packing, pieces, quality_model, rules, token_files, toxicity,
+)
 from barloom.llm.labelled import remainder
 from barloom.session import scratch_root
 
@@ -32,6 +34,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_merkle(spark, sf):
+    """Fingerprints of every document and its edited text, and how near they are."""
+    own, edited, following = (F.col(c) for c in ("tree", "edited_tree", "next.tree"))
+    return merkle.edited_fingerprints(table(spark, sf, "documents")).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        own["root"].alias("fingerprint"), edited["root"].alias("edited_fingerprint"),
+        merkle.likeness(own, edited).alias("near_edited"),
+        merkle.likeness(own, following).alias("near_next"),
+        F.size(merkle.changed(edited, own)).cast("long").alias("n_changed_paragraphs"))
+
+
 @query
 def op3_toxicity(spark, sf):
     """Toxicity of every document and how many of its sentences offend."""
@@ -52,6 +66,16 @@ def op4_token_files(spark, sf):
     return token_files.read_documents(written)
 
 
+@query
+def op5_rule_ledger(spark, sf):
+    """Every document's measurements, failure bits and verdict under the current policy."""
+    failures = F.col("failures")
+    return rules.ledger(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rules.kept(failures, "base")).alias("base_failed"),
+        rules.kept(failures, rules.CURRENT).alias("kept"), "n_lines", "n_upper", "failures")
+
+
 @query
 def op7_quality(spark, sf):
     """Quality of every document."""
@@ -62,6 +86,13 @@ def op7_quality(spark, sf):
         (F.col("score") >= quality_model.KEEP_FROM).cast("int").alias("predicted"))
 
 
+@query
+def op8_line_windows(spark, sf):
+    """Every document without the lines of passages that stand elsewhere already."""
+    done = line_windows.drop_repeats(table(spark, sf, "documents"))
+    return done.select("doc_id", "text", "n_removed")
+
+
 @query
 def op9_pieces(spark, sf):
     """Ids of every document and whether they give its text back."""
