@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    line_windows, merkle, packing, pieces, quality_model, rules, token_files, toxicity,
+    disclosure, line_windows, merkle, packing, pieces, quality_model, rules, token_files, toxicity,
 )
 from barloom.llm.labelled import remainder
 from barloom.session import scratch_root
@@ -34,6 +34,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_disclosure(spark, sf):
+    """Personal data of every document and the words that reveal it."""
+    def n(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return disclosure.find_spans(table(spark, sf, "documents")).select(
+        "doc_id", *[n(k) for k in disclosure.KINDS],
+        F.sha2(disclosure.listed(F.col("base")), 256).alias("base_sha256"),
+        disclosure.listed(F.concat("base", "added")).alias("spans"))
+
+
 @query
 def op2_merkle(spark, sf):
     """Fingerprints of every document and its edited text, and how near they are."""
