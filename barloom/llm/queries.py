@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    disclosure, line_windows, merkle, packing, pieces, quality_model, rules, token_files, toxicity,
+    disclosure, line_windows, merkle, near_copies, packing, pieces, quality_model, rules, token_files, toxicity,
 )
 from barloom.llm.labelled import remainder
 from barloom.session import scratch_root
@@ -88,6 +88,13 @@ def op5_rule_ledger(spark, sf):
         rules.kept(failures, rules.CURRENT).alias("kept"), "n_lines", "n_upper", "failures")
 
 
+@query
+def op6_near_copies(spark, sf):
+    """Every document's group of near copies and whether it is the one that stays."""
+    return near_copies.near_copies(table(spark, sf, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op7_quality(spark, sf):
     """Quality of every document."""
