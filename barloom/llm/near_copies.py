@@ -328,6 +328,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the near copies of documents with smaller ids, other rows unchanged."""
     gone = near_copies(docs).where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(text) == F.col("_key")), "left_anti")
+    text = F.coalesce(F.col("docs.text").cast("string"), F.lit(""))
+    return docs.alias("docs").join(
+        gone.alias("gone"), F.col("docs.doc_id").cast("long").eqNullSafe(F.col("gone._id"))
+        & (F.xxhash64(text) == F.col("gone._key")), "left_anti")

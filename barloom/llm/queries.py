@@ -34,6 +34,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def packed_columns(cut: DataFrame) -> DataFrame:
+    """What is reported of packed pieces: a checksum stands for the ids."""
+    return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                      "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op1_disclosure(spark, sf):
     """Personal data of every document and the words that reveal it."""
@@ -121,6 +127,5 @@ def op9_pieces(spark, sf):
 @query
 def op10_packing(spark, sf):
     """Pieces of power-of-two length, each a sequence of its own."""
-    pieces = packing.pack(table(spark, sf, "documents"), tokenizer_file(WORD_TOKENIZER), end_id=1)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
-                         "doc_tokens", "sequence_id", "offset")
+    return packed_columns(packing.pack(
+        table(spark, sf, "documents"), tokenizer_file(WORD_TOKENIZER), end_id=1))
