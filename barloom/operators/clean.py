@@ -11,6 +11,15 @@ from barloom.operators.series import POS, drop_working_columns, number_rows
 from barloom.schema import nan_to_null, parse_date
 
 
+def _first_of(df: DataFrame, subset: list[str]) -> DataFrame:
+    """Of rows equal in ``subset`` the first by date and serial number; of equal ones the
+    smallest row, so that every run keeps the same."""
+    order = [c for c in ("Date", "SNo") if c in df.columns]
+    row = F.struct(*df.columns)
+    first = F.min(F.struct(*order, row.alias("_row")))
+    return df.groupBy(*[F.col(c).alias(f"_by_{c}") for c in subset]).agg(first.alias("_first")).select("_first._row.*")
+
+
 def parse_and_fix(
     df: DataFrame, date_formats: tuple[str, ...] = (), subset: Sequence[str] | None = None
 ) -> DataFrame:
@@ -20,7 +29,7 @@ def parse_and_fix(
     if isinstance(df.schema["Date"].dataType, T.StringType):
         df = df.withColumn("Date", parse_date(F.col("Date"), date_formats))
     df = df.where(F.col("Date").isNotNull())
-    df = df.dropDuplicates(list(subset) if subset else None)
+    df = _first_of(df, list(subset)) if subset else df.dropDuplicates()
     signed = [c for c in [*config.PRICE_COLUMNS, "Volume"] if c in df.columns]
     return df.withColumns({c: F.abs(c) for c in signed})
 

@@ -250,7 +250,7 @@ def add_features(
     technical = "technical" in use
     # One row more than the longest frame: a return looks one row back.
     lookback = max([*windows, *config.TREND_WINDOWS, config.RSI_WINDOW]) + 1
-    lookback = LOOKBACK if technical else lookback
+    lookback = max(LOOKBACK, lookback) if technical else lookback
     df = in_blocks_with_halo(bars, lookback, block_rows)
 
     changes = _changes(use, columns)

@@ -25,6 +25,7 @@ class SavedModel:
     preprocessor: Preprocessor
     bounds: DataFrame
     metadata: DataFrame | None
+    version: str = config.MODEL_VERSION
 
 
 def save_model(
@@ -85,7 +86,7 @@ def load_model(spark: SparkSession, path: str, version: str = config.MODEL_VERSI
     preprocessor = Preprocessor(
         _table(spark, folder, "codes"), statistics, list(model.stages[0].getInputCols()), scale
     )
-    return SavedModel(model, preprocessor, _table(spark, folder, "bounds"), metadata)
+    return SavedModel(model, preprocessor, _table(spark, folder, "bounds"), metadata, version)
 
 
 def model_info(saved: SavedModel) -> DataFrame:

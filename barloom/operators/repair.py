@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from barloom import config
 from barloom.operators.quantiles import SAMPLE_ROWS, exact_quantiles, quantile_name
 from barloom.operators.series import (
-    BLOCK, BLOCK_ROWS, KEYS, POS, SERIES, in_blocks, join_per_series, series_lengths,
+    BLOCK_ROWS, KEYS, POS, SERIES, in_blocks, join_per_series, known_values, series_lengths,
 )
 from barloom.operators.split import train_end
 from barloom.schema import numeric_columns
@@ -82,48 +82,28 @@ def clip(df: DataFrame, bounds: DataFrame, block_rows: int = BLOCK_ROWS) -> Data
 
 
 def fill_gaps(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Forward fill, then backward fill, then 0. ``df`` should be cheap to read
-    again: a series longer than a block needs a second look at it."""
+    """Forward fill, then backward fill, then 0.
+
+    What lies outside a row's block comes from a table with a row per block, joined on
+    (series, block); inside a block one running window is enough. ``df`` is read twice.
+    """
     columns = [c for c in df.columns if not c.startswith("_")]
-    longest = df.agg(F.max(POS)).first()[0] or 0
-    block = Window.partitionBy(*KEYS).orderBy(POS)
-    so_far = block.rowsBetween(Window.unboundedPreceding, 0)
-    whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    filled = in_blocks(df, block_rows).withColumns(
-        {f"_f_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns}
-        | {f"_g_{c}": F.first(c, ignorenulls=True).over(whole) for c in columns}
-    )
+    so_far = Window.partitionBy(*KEYS).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    blocked = in_blocks(df, block_rows).join(known_values(df, columns, block_rows), KEYS)
     types = {f.name: f.dataType for f in df.schema}
 
-    def zero(c: str) -> list[Column]:
-        if isinstance(types[c], (T.NumericType, T.StringType)):
-            return [F.lit("0" if isinstance(types[c], T.StringType) else 0).cast(types[c])]
-        return []
-
-    if longest <= block_rows:
-        value = {c: [F.col(f"_f_{c}"), F.col(f"_g_{c}")] for c in columns}
-    else:
-        # The last row of a block knows the block's last and first known values.
-        ends = filled.join(series_lengths(df), SERIES).where(
-            (F.col(POS) % block_rows == 0) | (F.col(POS) == F.col("_n"))
-        ).select(*KEYS, *[f"_{k}_{c}" for k in "fg" for c in columns])
-        ends = stored(ends, "ends")
-        by_block = Window.partitionBy(SERIES).orderBy(BLOCK)
-        before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-        series = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        carried = ends.select(*KEYS, *[
-            F.coalesce(
-                F.last(f"_f_{c}", ignorenulls=True).over(before),
-                F.first(f"_g_{c}", ignorenulls=True).over(series),
-            ).alias(f"_c_{c}")
-            for c in columns
-        ])
-        filled = filled.join(carried, KEYS)
-        value = {c: [F.col(f"_f_{c}"), F.col(f"_c_{c}")] for c in columns}
-    return filled.select(
-        *[F.coalesce(*value[c], *zero(c)).alias(c) for c in columns],
-        *[c for c in df.columns if c.startswith("_")],
-    )
+    def filled(c: str) -> Column:
+        values = [F.last(c, ignorenulls=True).over(so_far), F.col(f"_before_{c}"), F.col(f"_first_{c}")]
+        return F.coalesce(*values, *zero(types[c])).alias(c)
+
+    return blocked.select(*[filled(c) for c in columns], *[c for c in df.columns if c.startswith("_")])
+
+
+def zero(kind: T.DataType) -> list[Column]:
+    """What stands for a value that a whole series lacks; dates have none."""
+    if isinstance(kind, (T.NumericType, T.StringType)):
+        return [F.lit("0" if isinstance(kind, T.StringType) else 0).cast(kind)]
+    return []
 
 
 def repair(

@@ -152,6 +152,26 @@ def carried_values(
     return blocks.select(*KEYS, *[before(n).alias(f"{prefix}{n}") for n in columns])
 
 
+def known_values(df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Per (series, block): ``_before_<c>``, the last value known before the block, and
+    ``_first_<c>``, the first one known in the series.
+
+    One aggregation with map-side partials; the result, a row per block, is stored so that
+    its size is known when it is joined.
+    """
+    aggs = []
+    for c in columns:
+        at = F.when(F.col(c).isNotNull(), F.col(POS))
+        aggs += [F.max_by(c, at).alias(f"_last_{c}"), F.min_by(c, at).alias(f"_own_{c}")]
+    blocks = in_blocks(df, block_rows).groupBy(*KEYS).agg(*aggs)
+    by_block = Window.partitionBy(SERIES).orderBy(BLOCK)
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return stored(blocks.select(*KEYS, *[x for c in columns for x in (
+        F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_before_{c}"),
+        F.first(f"_own_{c}", ignorenulls=True).over(whole).alias(f"_first_{c}"))]), "known")
+
+
 def series_lengths(df: DataFrame) -> DataFrame:
     return df.groupBy(SERIES).agg(F.max(POS).alias("_n"))
 

@@ -10,6 +10,8 @@ PARTS = ("train", "validation", "test")
 
 
 def check_ratios(ratios: tuple[float, float, float]) -> None:
+    if min(ratios) <= 0:
+        raise ValueError(f"every part must be positive, got {ratios}")
     if abs(sum(ratios) - 1.0) > 0.01:
         raise ValueError(f"split ratios must sum to 1, got {sum(ratios)}")
 

@@ -5,17 +5,30 @@ from pyspark.sql import functions as F
 
 from barloom.operators.series import drop_working_columns
 
+SYMBOL_KEY = "symbol_key"
+KEY_START = "s_"
 RUNS = "run_id string, kind string, name string, value double"
 
 
+def folder_of(symbol: str) -> str:
+    """The folder key of a symbol in a table of features."""
+    return KEY_START + symbol
+
+
 def write_bars_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     drop_working_columns(df).write.mode(mode).csv(path, header=True)
 
 
 def write_features(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Features as Parquet, a folder per symbol. Rows come blocked by series and
-    are written where they are, so a long series is written by many tasks."""
-    drop_working_columns(df).write.mode(mode).partitionBy("Symbol").parquet(path)
+    are written where they are, so a long series is written by many tasks.
+
+    The symbol stays an ordinary text column; folders have a key of their own, which
+    no reader takes for a number or a date.
+    """
+    key = F.when(F.col("Symbol").isNotNull(), F.concat(F.lit(KEY_START), F.col("Symbol").cast("string")))
+    keyed = drop_working_columns(df).withColumn(SYMBOL_KEY, key)
+    keyed.write.mode(mode).partitionBy(SYMBOL_KEY).parquet(path)
 
 
 def write_summary(

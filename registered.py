@@ -267,7 +267,7 @@ def damaged_values(spark, sf) -> DataFrame:
 def r_bounds(spark, sf):
     df = clip_bounds(damaged_values(spark, sf), VALUES)
     return rounded(df.select(
-        F.substring("_series", 2, 100).alias("Symbol"),
+        F.expr("substring(_series, 2)").alias("Symbol"),
         *[F.col(f"_{k}_{c}").alias(f"{c}_{k}") for c in VALUES for k in ("low", "high")],
     ), 2)
 
@@ -276,7 +276,7 @@ def r_bounds(spark, sf):
 def r_bounds_many_symbols(spark, sf):
     df = with_known_positions(stored(bars_from_order_lines(spark, sf), "bars"))
     return rounded(clip_bounds(df, VALUES).select(
-        F.substring("_series", 2, 100).alias("Symbol"),
+        F.expr("substring(_series, 2)").alias("Symbol"),
         *[F.col(f"_{k}_{c}").alias(f"{c}_{k}") for c in VALUES for k in ("low", "high")],
     ), 2)
 
@@ -285,7 +285,7 @@ def r_bounds_many_symbols(spark, sf):
 def r_bounds_of_training_part(spark, sf):
     df = clip_bounds(damaged_values(spark, sf), VALUES, fit_scope="train")
     return rounded(df.select(
-        F.substring("_series", 2, 100).alias("Symbol"),
+        F.expr("substring(_series, 2)").alias("Symbol"),
         *[F.col(f"_{k}_{c}").alias(f"{c}_{k}") for c in VALUES for k in ("low", "high")],
     ), 2)
 

@@ -3,9 +3,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators.evaluate import comparison, metrics, performance_summary, top_features
-from barloom.operators.persist import load_model, model_info
+from barloom.operators.features import add_features
+from barloom.operators.persist import load_model, model_info, save_model
+from barloom.operators.repair import repair
 from barloom.operators.report import feature_classes, feature_summary
-from barloom.operators.score import check_requests, recent_history, score
+from barloom.operators.score import check_requests, request_features, score
 from barloom.operators.series import with_known_positions
 from barloom.operators.train import cross_validate, cv_summary, grid_search, make_model, predict, train
 from barloom.plans.training import train_and_save
@@ -91,7 +93,6 @@ def test_scoring_continues_the_series(spark, run):
     )
     errors = {r["SNo"]: r["errors"] for r in check_requests(requests).collect()}
     assert errors[72] == ["High<Low", "High<Open"] and errors[151] == []
-    assert recent_history(raw, requests, rows=20).count() == 40
     got = {r["input_data"]["Symbol"]: r for r in score(saved, raw, requests).collect()}
     assert set(got) == {"AAA", "BBB", "NEW"}
     assert all(r["predicted_price"] is not None for r in got.values())
@@ -99,6 +100,63 @@ def test_scoring_continues_the_series(spark, run):
     assert got["AAA"]["input_data"]["Date"] == "2016-01-01"
 
 
+def asked_rows(spark, rows):
+    return spark.createDataFrame(rows, "_request long, SNo long, Name string, Symbol string, Date string, High double, "
+                                 "Low double, Open double, Volume double, Marketcap double")
+
+
+def test_requests_see_the_whole_history_and_not_each_other(spark, run):
+    """The features of each request against those of its history with the request as last row."""
+    path, _, _, _ = run
+    saved = load_model(spark, f"{path}/models")
+    long = make_bars({"AAA": 2100, "BBB": 30})
+    # The closes and opens of most of the series are unknown, and some single ones.
+    gone = (long["Symbol"] == "AAA") & (long["SNo"] > 290)
+    long.loc[gone, ["Close", "Open"]] = np.nan
+    long.loc[long["SNo"] % 17 == 3, ["Close", "Volume"]] = np.nan
+    raw = with_known_positions(to_spark(spark, long)).withColumn(
+        "Date", F.to_timestamp_ntz("Date", F.lit("yyyy-MM-dd")))
+    dates = [str(d)[:10] for d in long[long["Symbol"] == "AAA"]["Date"]]
+    rows = [(k, 9, "n", s, d, 110.0 + k, 90.0, 100.0, 3.0, 1e8) for k, (s, d) in enumerate(
+        [("AAA", dates[2099]), ("AAA", dates[300]), ("NEW", "2016-01-01")])]
+    asked = asked_rows(spark, rows).withColumn("Date", F.to_timestamp_ntz("Date", F.lit("yyyy-MM-dd")))
+    got = {r["_request"]: r for r in request_features(saved, raw, asked).collect()}
+    assert len(got) == len(rows)
+    names = [f.name for f in raw.schema if not f.name.startswith("_")]
+    for request in asked.collect():
+        before = raw.where((F.col("Symbol") == request["Symbol"]) & (F.col("Date") < F.lit(request["Date"])))
+        n = before.count()
+        last = asked.where(F.col("_request") == request["_request"]).drop("_request").withColumns(
+            {"Close": F.lit(None).cast("double")}).select(*names)
+        whole = with_known_positions(before.select(*names).unionByName(
+            last.withColumn("SNo", F.lit(n + 1).cast("long"))))
+        want = repair(add_features(whole), bounds=saved.bounds).where(F.col("_pos") == n + 1).first()
+        for c in names + ["EMA_20", "MACD", "MACD_Signal", "MACD_Histogram", "RSI_14", "BB_Position", "Open_MA_20",
+                          "Volume_Std_20", "Skewness_20", "Momentum_10", "Marketcap_Change", "SMA_5", "Open_Change"]:
+            if c not in ("SNo", "Date", "Name", "Symbol"):
+                assert got[request["_request"]][c] == pytest.approx(want[c], rel=1e-6, abs=1e-7), (request, c)
+
+
+def test_a_batch_scores_like_its_requests_alone(spark, run):
+    path, bars, _, training = run
+    saved = load_model(spark, f"{path}/models")
+    raw = with_known_positions(to_spark(spark, bars)).withColumn(
+        "Date", F.to_timestamp_ntz("Date", F.lit("yyyy-MM-dd")))
+    rows = [(k, 1, "n", s, f"201{y}-01-0{k + 1}", 110.0 + 9 * k, 90.0, 100.0, 3.0 * k, 1e8)
+            for k, (s, y) in enumerate([("AAA", 6), ("AAA", 6)])]
+    asked = asked_rows(spark, rows).withColumnRenamed("_request", "request_id")
+    at = F.lit("2030-01-01").cast("timestamp_ntz")
+    batch = {r["request_id"]: r for r in score(saved, raw, asked, at=at).collect()}
+    assert {r["prediction_timestamp"] for r in batch.values()} == {"2030-01-01T00:00:00"}
+    for k in batch:
+        alone = score(saved, raw, asked.where(F.col("request_id") == k), at=at).first()
+        assert alone["predicted_price"] == pytest.approx(batch[k]["predicted_price"], rel=1e-12)
+    later = save_model(training, saved.preprocessor, saved.bounds, f"{path}/models", version="2.5.0")
+    assert later.endswith("2.5.0")
+    newer = load_model(spark, f"{path}/models", "2.5.0")
+    assert score(newer, raw, asked).first()["model_version"] == "2.5.0"
+
+
 def test_cross_validation_and_grid(run):
     _, _, prepared, _ = run
     rows = prepared.table.where("split = 'train'")

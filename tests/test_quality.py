@@ -104,4 +104,24 @@ def test_csv_and_parquet(spark, tmp_path):
     one = read_bars_parquet(spark, str(tmp_path / "features"), symbols=["AAA"])
     assert one.count() == 20
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [Symbol" in plan or "Symbol#" in plan.split("PartitionFilters")[1][:60]
+    assert "symbol_key#" in plan.split("PartitionFilters")[1][:60]
+    with pytest.raises(FileNotFoundError):
+        read_bars_parquet(spark, str(tmp_path / "features"), symbols=["AAA", "ZZZ"])
+
+
+def test_symbols_stay_text_in_parquet(spark, tmp_path):
+    names = ["007", "10", "2024-01-01", "", "a/b=c", None]
+    bars = spark.createDataFrame([(s, float(i)) for i, s in enumerate(names)], "Symbol string, Close double")
+    write_features(bars, str(tmp_path / "features"))
+    back = read_bars_parquet(spark, str(tmp_path / "features"))
+    assert back.columns == bars.columns and dict(back.dtypes) == dict(bars.dtypes)
+    assert {(r[0], r[1]) for r in back.collect()} == {(r[0], r[1]) for r in bars.collect()}
+    one = read_bars_parquet(spark, str(tmp_path / "features"), symbols=["007", ""])
+    assert {r[0] for r in one.collect()} == {"007", ""}
+
+
+def test_of_rows_equal_in_some_columns_the_first_stays(spark):
+    bars = make_bars({"AAA": 6})
+    again = bars.assign(SNo=bars["SNo"] + 100, Open=1.0)
+    got = clean_bars(to_spark(spark, pd.concat([again, bars])), subset=["Symbol", "Date"]).toPandas()
+    assert len(got) == 6 and sorted(got["Open"]) == sorted(bars["Open"].abs())
