@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.clean import clean_bars
-from barloom.operators.evaluate import comparison, metrics, top_features
+from barloom.operators.evaluate import comparison, metrics, performance_summary, top_features
 from barloom.operators.features import CALENDAR, add_features, feature_names
 from barloom.operators.persist import load_model, model_info, save_model
 from barloom.operators.prepare import Statistics, category_codes, encode
 from barloom.operators.repair import clip, clip_bounds, fill_gaps, repair
 from barloom.operators.report import feature_classes, feature_summary, pipeline_summary
 from barloom.operators.score import check_requests, score
-from barloom.operators.series import POS, drop_working_columns, with_known_positions
+from barloom.operators.series import POS, drop_working_columns, number_rows, with_known_positions
 from barloom.operators.split import (
     add_fold, add_split, fold_counts, split_counts,
 )
@@ -256,6 +256,30 @@ def z_features_of_dirty_bars(spark, sf):
     return rounded(df.select("Symbol", "SNo", *names), 4)
 
 
+def long_series(spark, sf) -> DataFrame:
+    """All events as one numbered series; values are unknown at the start and now and then."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.lit("all").alias("Symbol"), F.col("ts").alias("Date"), F.col("event_id").alias("SNo"),
+        F.col("value").alias("Open"))
+    numbered = stored(number_rows(events), "events").withColumn("SNo", F.col(POS))
+    gaps = (F.col(POS) > 700) & (F.col(POS) % 7 == 0)
+    return numbered.withColumns({"Close": F.when(gaps, F.col("Open"))})
+
+
+@query
+def p_long_windows(spark, sf):
+    """Windows longer than the history that weighted means need, over several blocks."""
+    df = add_features(long_series(spark, sf), windows=(2000,), families=("price", "technical"), block_rows=2048)
+    return rounded(df.select("SNo", *[f"Open_{k}_2000" for k in ("MA", "Std", "Min", "Max")]))
+
+
+@query
+def r_fill_long_series(spark, sf):
+    """Gaps of one series over several blocks, the first ones before any known value."""
+    df = long_series(spark, sf).drop("Date")
+    return rounded(fill_gaps(df, block_rows=1024).select("SNo", "Open", "Close"))
+
+
 # Repair
 
 def damaged_values(spark, sf) -> DataFrame:
@@ -391,6 +415,11 @@ def m_metrics(spark, sf):
     return rounded(metrics(rule_predictions(spark, sf)), large=["mse"])
 
 
+@query
+def m_performance_summary(spark, sf):
+    return rounded(performance_summary(rule_predictions(spark, sf)))
+
+
 @query
 def m_metrics_by_symbol(spark, sf):
     df = rule_predictions(spark, sf, bars_from_order_lines)
@@ -493,7 +522,8 @@ def saved_model(spark, sf):
 @query
 def b_scores(spark, sf):
     history = clean_bars(damaged_bars(spark, sf), keep_positions=True)
-    return score(saved_model(spark, sf), stored(history, "history"), requests(spark, sf))
+    at = F.lit(AS_OF).cast("timestamp_ntz")
+    return score(saved_model(spark, sf), stored(history, "history"), requests(spark, sf), at=at)
 
 
 @query

@@ -425,6 +425,20 @@ SELECT Symbol, SNo, CASE WHEN SNo <= cut THEN 'train' ELSE 'test' END AS role FR
         f"{rnd('abs((Close - SMA_5) / NULLIF(Close, 0)) * 100')} AS pct_error "
         "FROM split WHERE SMA_5 IS NOT NULL")
 
+    out["m_performance_summary"] = (
+        f"SELECT split, mae, rmse, r2, mape FROM ({out['m_metrics']})")
+
+    events = ("e AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS SNo, value AS Open FROM events), "
+              "gaps AS (SELECT *, CASE WHEN SNo > 700 AND SNo % 7 = 0 THEN Open END AS Close FROM e)")
+    frame = "OVER (ORDER BY SNo ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)"
+    cells = ", ".join(f"CASE WHEN SNo >= 2000 THEN {rnd(f'{f}(Open) {frame}')} END AS Open_{k}_2000" for k, f in (
+        ("MA", "avg"), ("Std", "stddev_samp"), ("Min", "min"), ("Max", "max")))
+    out["p_long_windows"] = f"WITH {events} SELECT SNo, {cells} FROM gaps"
+    filled = ("coalesce(last_value(Close IGNORE NULLS) OVER (ORDER BY SNo ROWS BETWEEN UNBOUNDED PRECEDING AND "
+              "CURRENT ROW), first_value(Close IGNORE NULLS) OVER (ORDER BY SNo ROWS BETWEEN UNBOUNDED PRECEDING "
+              "AND UNBOUNDED FOLLOWING), 0)")
+    out["r_fill_long_series"] = f"WITH {events} SELECT SNo, {rnd('Open')} AS Open, {rnd(filled)} AS Close FROM gaps"
+
     out["b_request_rules"] = request_sql()
 
     made = [*BAR_COLUMNS, *names("price", "volume")]
