@@ -26,7 +26,7 @@ from barloom.llm.words import gather, map_texts, texts_of
 
 MARK = "▁"
 # Words whose ids a Python worker keeps; when full, it starts anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 _coders: dict[str, "PieceCoder"] = {}
 
 

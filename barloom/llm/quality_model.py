@@ -9,6 +9,7 @@ A null or empty text has no grams and scores what the bias says. Without labelle
 documents every score is 0.5. Rows with equal ids are scored one by one; null ids stay.
 """
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,15 +64,17 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
         names=["doc_id", "label", "slots"])
 
 
-def follow_the_leader(rows: list[tuple[int, np.ndarray]], epochs: int = 3, alpha: float = 0.3,
+def follow_the_leader(rows: Iterable[tuple[int, np.ndarray]], epochs: int = 3, alpha: float = 0.3,
                       beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> QualityModel:
     """FTRL-proximal over rows of (label, slots), in the given order. The last slot is the bias."""
     z, n, w = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-    cuts = [np.unique(slots, return_counts=True) for _, slots in rows]
+    cuts = []
+    for label, slots in rows:
+        at, counts = np.unique(slots, return_counts=True)
+        cuts.append((label, np.append(at, SLOTS).astype(np.int32),
+                     np.append(counts / np.sqrt(max(1, len(slots))), 1.0).astype(np.float32)))
     for _ in range(epochs):
-        for (label, slots), (at, counts) in zip(rows, cuts):
-            at = np.append(at, SLOTS)
-            x = np.append(counts / np.sqrt(max(1, len(slots))), 1.0)
+        for label, at, x in cuts:
             zs, ns = z[at], n[at]
             ws = -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(ns)) / alpha + l2)
             ws[np.abs(zs) <= l1] = 0
@@ -93,10 +96,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     found = map_texts(chosen, _features, "doc_id long, label int, slots array<int>")
     got = found.toArrow().combine_chunks()
     ids, label = got.column("doc_id").to_numpy(), got.column("label").to_numpy()
-    rows = [(int(y), x.values.to_numpy()) for y, x in zip(label, got.column("slots"))]
+    slots = got.column("slots")
     # By a hash of the id: no run of one source or label.
     order = np.lexsort((ids, mixed(ids.astype(np.uint64), 5)))
-    return follow_the_leader([rows[i] for i in order])
+    return follow_the_leader((int(label[i]), slots[int(i)].values.to_numpy()) for i in order)
 
 
 def add_score(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from barloom.llm.words import gather, split_words
 
 # Words whose ids a Python worker keeps; when full, it starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 # A letter of Latin-1, then dots or commas up to the word's end: always two tokens apart.
 STOPS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,]+)$"
 PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"

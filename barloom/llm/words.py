@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Bytes of text handled at once in a Python worker; a longer text is a slice of its own.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 @dataclass
