@@ -1,7 +1,7 @@
 """Quality of texts: logistic regression on hashed word n-grams, trained online.
 
-Words and runs of punctuation, and pairs of neighbours, are hashed to 2**20 slots; a
-text of n such grams has 1 / sqrt(n) in a slot for each occurrence. The weights follow
+Words and runs of punctuation, and pairs of neighbours (all pairs of equal ones as one),
+are hashed to 2**20 slots; a text of n such grams has 1 / sqrt(n) in a slot for each occurrence. The weights follow
 the regularised leader (FTRL-proximal) over a bounded sample of labelled documents; a
 score is the sparse dot product through the logistic function.
 
@@ -52,7 +52,9 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     slots = np.empty(starts[-1], np.int64)
     slots[at] = mixed(h, 1) % np.uint64(SLOTS)
     first = np.flatnonzero(~last)
-    slots[at[first] + 1] = mixed(h[first] * np.uint64(3) + mixed(h[first + 1], 2), 3) % np.uint64(SLOTS)
+    pairs = mixed(h[first] * np.uint64(3) + mixed(h[first + 1], 2), 3)
+    pairs[h[first] == h[first + 1]] = 0  # a word said twice is one gram, whatever the word
+    slots[at[first] + 1] = pairs % np.uint64(SLOTS)
     return starts, slots
 
 
