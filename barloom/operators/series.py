@@ -82,8 +82,9 @@ def number_rows(
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .drop("_rows")
     )
+    # Stored, so that its size is known: a small one is broadcast and the rows stay where they are.
     return (
-        rows.join(chunks, [SERIES, "_part"])
+        rows.join(stored(chunks, "chunks"), [SERIES, "_part"])
         .withColumn(POS, F.col("_before") + F.col("_row") - F.col("_first") + 1)
         .drop("_id", "_part", "_row", "_first", "_before")
     )

@@ -56,6 +56,7 @@ def prepare_bars(
 ) -> Prepared:
     """Validate, clean, add features, repair, split, fit on train and apply."""
     report, clean = validate_and_clean(raw, as_of, date_formats)
+    clean = stored(clean, "clean")  # the features read it three times
     families = [f for f in FAMILIES if technical or f != "technical"]
     made = stored(
         drop_infinities(add_features(clean, windows, families, block_rows)), "features"
