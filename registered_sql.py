@@ -1,7 +1,6 @@
 """The registered queries in SQL, for comparison on the same tables."""
 
 from barloom.operators.features import FAMILIES, feature_names
-from barloom.operators.report import CLASS_WORDS
 from barloom.sources.derived import BAR_COLUMNS
 
 VALUES = ["High", "Low", "Open", "Close", "Volume", "Marketcap"]
@@ -269,10 +268,10 @@ def statistics_ctes() -> str:
 
 
 def feature_class_case(name: str) -> str:
-    whens = " ".join(
-        "WHEN " + " OR ".join(f"contains(lower({name}), '{w}')" for w in words) + f" THEN '{label}'"
-        for label, words in CLASS_WORDS.items()
-    )
+    # Fixed words; the first class with one of them in the name.
+    classes = [("price", "price|high|low|open|close"), ("volume", "volume"), ("marketcap", "marketcap"),
+               ("time", "year|month|day|time"), ("technical", "sma|ema|rsi|macd|bb")]
+    whens = " ".join(f"WHEN regexp_matches(lower({name}), '{words}') THEN '{label}'" for label, words in classes)
     return f"CASE {whens} ELSE 'statistical' END"
 
 
