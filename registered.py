@@ -8,10 +8,12 @@ and metrics, b batch scoring, q summaries.
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.config import N_FOLDS
 from barloom.operators.clean import clean_bars
 from barloom.operators.evaluate import comparison, metrics, performance_summary, top_features
 from barloom.operators.features import CALENDAR, add_features, feature_names
@@ -399,7 +401,9 @@ def x_folds(spark, sf):
 
 @query
 def x_fold_rows(spark, sf):
-    return add_fold(event_bars(spark, sf), 2).select("Symbol", "SNo", "role")
+    bars = stored(event_bars(spark, sf), "bars")
+    folds = [add_fold(bars, i).select(F.lit(i).alias("fold"), "Symbol", "SNo", "role") for i in range(N_FOLDS)]
+    return reduce(DataFrame.unionByName, folds)
 
 
 # Models and metrics. The first three judge a rule that needs no training: the

@@ -410,8 +410,8 @@ folds AS (SELECT Symbol, i::INTEGER AS fold, n - (n // 6) * (5 - i) AS cut, n //
 SELECT Symbol, fold, 'train' AS role, cut AS rows, 1::BIGINT AS first_row, cut AS last_row FROM folds
 UNION ALL SELECT Symbol, fold, 'test', t, cut + 1, cut + t FROM folds"""
     out["x_fold_rows"] = f"""WITH {EVENTS}, counted AS (SELECT *, count(*) OVER (PARTITION BY Symbol) AS n FROM bars),
-cuts AS (SELECT *, n - (n // 6) * 3 AS cut, n // 6 AS t FROM counted)
-SELECT Symbol, SNo, CASE WHEN SNo <= cut THEN 'train' ELSE 'test' END AS role FROM cuts WHERE SNo <= cut + t"""
+cuts AS (SELECT *, n - (n // 6) * (5 - fold) AS cut, n // 6 AS t FROM counted, range(5) f(fold))
+SELECT fold::INTEGER AS fold, Symbol, SNo, CASE WHEN SNo <= cut THEN 'train' ELSE 'test' END AS role FROM cuts WHERE SNo <= cut + t"""
 
     out["m_metrics"] = f"WITH {EVENTS}, {feature_ctes('bars')}, {split_cte('f4')} {metric_select('split')}"
     out["m_metrics_by_symbol"] = (
