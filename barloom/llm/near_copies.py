@@ -2,13 +2,14 @@
 
 Words are lower-cased (A-Z); a document's set holds its distinct runs of five words, or
 all its words as one run if it has fewer. Two documents are linked if the Jaccard
-similarity of their sets is at least 85 %, and a group is what links connect.
+similarity of their sets is at least ``percent``, and a group is what links connect.
 
-1. One pass over the texts: documents with equal words are one class. A class gets 80
+1. One pass over the texts: documents with equal words are one class. A class gets
    circulant MinHash coordinates: one permutation scatters the shingles over 2**32 places,
    a second one, shifted on by one place for each coordinate, gives their ranks, and the
-   smallest rank is the coordinate. Four coordinates make a band. At a similarity of 85 %
-   two classes have no band in common with a chance of 4 in 10 million.
+   smallest rank is the coordinate. Four coordinates make a band. There are as many bands
+   as it takes (20 for 85 %, 28 for 80 %) that two classes at the threshold have none in
+   common with a chance of at most 4 in 10 million.
 2. Classes with a band in common form a bucket. Buckets with the same members are kept
    once; single ones fall out.
 3. The sets of the classes left are built from the texts again. Buckets are cut into
@@ -24,6 +25,7 @@ are linked by their texts alone. A null id counts as larger than all others.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,9 @@ from barloom.session import stored
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 20, 4
+ROWS = 4
+# The chance that two classes at the threshold have no band in common.
+MISSED = 4e-7
 # Members of a block; a task holds two blocks at most.
 BLOCK = 256
 NO_ID = (1 << 63) - 1
@@ -74,7 +78,16 @@ def scattered(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-def coordinates(shingles: np.ndarray, n: int = BANDS * ROWS) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    """How many bands two sets of that similarity need to share one but for a chance of ``MISSED``."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"not a percentage above 0: {percent}")
+    if percent == 100:
+        return 1
+    return math.ceil(math.log(MISSED) / math.log1p(-(percent / 100) ** ROWS))
+
+
+def coordinates(shingles: np.ndarray, n: int) -> np.ndarray:
     """Circulant MinHash: coordinate k is the smallest rank under the second permutation shifted by k."""
     places = scattered((shingles >> np.uint64(32)).astype(np.uint32))
     shifts = np.arange(1, n + 1, dtype=np.uint32)[:, None]
@@ -90,22 +103,24 @@ def coordinates(shingles: np.ndarray, n: int = BANDS * ROWS) -> np.ndarray:
     return out
 
 
-def bands_of(shingles: np.ndarray) -> np.ndarray:
-    c = coordinates(shingles).reshape(BANDS, ROWS).astype(np.uint64)
-    number = np.arange(BANDS, dtype=np.uint64)
+def bands_of(shingles: np.ndarray, bands: int) -> np.ndarray:
+    c = coordinates(shingles, bands * ROWS).reshape(bands, ROWS).astype(np.uint64)
+    number = np.arange(bands, dtype=np.uint64)
     for k in range(ROWS):
         number = mixed(number, 21) + c[:, k]
     return mixed(number, 22).view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_key, n_shingles, class (digest of the words) and bands of every document."""
+    n_bands = bands_for(percent)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets, digests = shingles_of(texts_of(batch, "text"))
         known: dict[bytes, np.ndarray] = {}
         for s, d in zip(sets, digests):
             if d and d not in known:
-                known[d] = bands_of(s)
+                known[d] = bands_of(s, n_bands)
         bands = [known[d] if d else np.zeros(0, np.int64) for d in digests]
         ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])])
         return pa.RecordBatch.from_arrays(
@@ -192,7 +207,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def joining_links(sets: list[np.ndarray], groups: list) -> list[tuple[int, int]]:
+def joining_links(sets: list[np.ndarray], groups: list, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect members of different groups; of links within what they connect, none."""
     root = list(range(len(sets)))
 
@@ -208,7 +223,7 @@ def joining_links(sets: list[np.ndarray], groups: list) -> list[tuple[int, int]]
             root[i] = find(first.setdefault(g, i))
     sizes = np.array([len(s) for s in sets])
     common = _overlaps(sets)
-    linked = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
     out = []
     for i, j in zip(*np.nonzero(np.triu(linked, 1))):
         a, b = find(int(i)), find(int(j))
@@ -218,7 +233,7 @@ def joining_links(sets: list[np.ndarray], groups: list) -> list[tuple[int, int]]
     return out
 
 
-def confirmed(blocks: DataFrame) -> DataFrame:
+def confirmed(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links a, b within ``blocks(block, class, shingles, label)``; members with one label are connected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, classes, sets, labels = None, [], [], []
@@ -226,7 +241,7 @@ def confirmed(blocks: DataFrame) -> DataFrame:
 
         def finish() -> None:
             if len(classes) > 1:
-                out.extend((classes[i], classes[j]) for i, j in joining_links(sets, labels))
+                out.extend((classes[i], classes[j]) for i, j in joining_links(sets, labels, percent))
 
         def taken() -> pa.RecordBatch:
             rows = pa.RecordBatch.from_arrays(
@@ -259,16 +274,17 @@ def _block(n: Column) -> Column:
     return F.pmod(F.xxhash64("class", F.lit(31)), F.ceil(n / BLOCK).cast("long"))
 
 
-def links_within_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+def links_within_blocks(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     n = F.ceil(F.col("n") / BLOCK).cast("long")
     own = F.when(F.col("class") == F.col("first"), F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(
         F.array(_block(F.col("n"))))
     placed = members.withColumn("at", F.explode(own)).select(
         F.xxhash64("bucket", "at").alias("block"), "class", F.lit(None).cast("binary").alias("label"))
-    return confirmed(placed.join(sets, "class"))
+    return confirmed(placed.join(sets, "class"), percent)
 
 
-def links_between_blocks(members: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def links_between_blocks(members: DataFrame, sets: DataFrame, labels: DataFrame,
+                         percent: int = PERCENT) -> DataFrame:
     """Links of classes outside a bucket's largest group, in buckets of several blocks."""
     many = members.where(F.col("n") > BLOCK).join(
         labels.select(F.col("vertex").alias("class"), "label"), "class", "left").select(
@@ -293,20 +309,20 @@ def links_between_blocks(members: DataFrame, sets: DataFrame, labels: DataFrame)
     pairs = F.when(is_top, with_rest).otherwise(F.concat(with_rest, with_top))
     placed = many.join(shape, "bucket").withColumn("at", at).withColumn("pair", F.explode(pairs)).select(
         F.xxhash64("bucket", "pair.i", "pair.j", F.lit(33)).alias("block"), "class", "label")
-    return confirmed(placed.join(sets, "class"))
+    return confirmed(placed.join(sets, "class"), percent)
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id and kept of every row.
+def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and kept of every row, linked from ``percent`` on.
 
     ``component_id`` is the smallest id that links lead to; ``kept`` marks its document.
     """
-    signed = stored(signatures(docs), "signatures")
+    signed = stored(signatures(docs, percent), "signatures")
     members, chosen = buckets_of(signed)
     sets = stored(sets_of(docs, chosen), "shingle-sets")
-    links = stored(links_within_blocks(members, sets), "links-within")
+    links = stored(links_within_blocks(members, sets, percent), "links-within")
     labels = components(links)
-    further = stored(links_between_blocks(members, sets, labels), "links-between")
+    further = stored(links_between_blocks(members, sets, labels, percent), "links-between")
     if not further.isEmpty():
         labels = components(links.union(further))
     ids = signed.groupBy("class").agg(F.min("doc_id").alias("least")).join(
@@ -324,9 +340,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
                       (F.col("doc_id") == F.col("component")).alias("kept"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the near copies of documents with smaller ids, other rows unchanged."""
-    gone = near_copies(docs).where(~F.col("kept")).select(
+    gone = near_copies(docs, percent).where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     text = F.coalesce(F.col("docs.text").cast("string"), F.lit(""))
     return docs.alias("docs").join(

@@ -97,7 +97,7 @@ def op5_rule_ledger(spark, sf):
 @query
 def op6_near_copies(spark, sf):
     """Every document's group of near copies and whether it is the one that stays."""
-    return near_copies.near_copies(table(spark, sf, "documents")).select(
+    return near_copies.near_copies(table(spark, sf, "documents"), percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -28,8 +28,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return near_copies.keep_first(docs)
+    """Of each group of near copies (80 % of the shingles or more) the document with the smallest id stays."""
+    return near_copies.keep_first(docs, percent=80)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from barloom.llm import components, near_copies
 from tests.llm.llm_data import clashing, docs_of, odd_rows, prose
 
@@ -68,6 +69,27 @@ def test_first_of_each_group_stays(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _, c in plain_groups(near_rows()) if d == c}
 
 
+def apart(n, seed):
+    """A text of 84 different words, and one with ``n`` of its 80 shingles changed."""
+    words = [f"s{seed}w{k}" for k in range(84)]
+    other = words[:len(words) - n] + [f"s{seed}x{k}" for k in range(n)]
+    return " ".join(words), " ".join(other)
+
+
+def test_stage_drops_pairs_from_80_percent_on(spark):
+    # n changed shingles of 80: a similarity of (80 - n) / (80 + n), from 0.80 to under 0.85 with 7 and 8.
+    rows = []
+    for seed in range(60):
+        one, other = apart(6 + seed % 4, seed)
+        rows += [(seed * 2, one), (seed * 2 + 1, other)]
+    docs = docs_of(spark, rows)
+    kept = {r["doc_id"] for r in corpus_pipeline.near(spark, docs, None).collect()}
+    assert {i for i in kept if i % 2} == {i * 2 + 1 for i in range(60) if i % 4 == 3}
+    strict = {r["doc_id"] for r in near_copies.keep_first(docs, percent=85).collect()}
+    assert {i for i in strict if i % 2} == {i * 2 + 1 for i in range(60) if i % 4}
+    assert [near_copies.bands_for(p) for p in (80, 85, 100)] == [28, 20, 1]
+
+
 def test_groups_of_odd_rows(spark):
     docs = docs_of(spark, odd_rows())
     got = near_copies.near_copies(docs).collect()
