@@ -58,6 +58,16 @@ def test_copies_prove_nothing(spark):
     assert all(not r["added"] for r in disclosure.find_spans(docs).collect())
 
 
+def test_a_passage_shared_by_different_texts_is_evidence(spark):
+    block = ("for all that you may want to ask about this page please write to Zanthor at ann@x.org "
+             "and you will hear from us within two or three days of the same week")
+    docs = docs_of(spark, [(i, f"{prose(i, 2)}\n{block}\n{prose(i + 100, 2)}") for i in range(6)]
+                   + [(i, prose(i, 4)) for i in range(20, 60)])
+    told = {r["word"]: r["revealed"] for r in disclosure.telling_words(docs, disclosure.find_base(docs)).collect()}
+    assert told.get("zanthor", 0) > 0.999
+    assert all("anthor" not in r["text"] for r in disclosure.sanitise(docs).collect())
+
+
 def test_spans_of_odd_rows(spark):
     docs = docs_of(spark, odd_rows() + [(40, "mail a@b.co")])
     got = disclosure.find_spans(clashing(docs)).collect()
