@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -68,6 +69,26 @@ def test_a_passage_shared_by_different_texts_is_evidence(spark):
     assert all("anthor" not in r["text"] for r in disclosure.sanitise(docs).collect())
 
 
+def test_words_far_from_an_entity_are_counted_in_whole_documents(spark):
+    """'qorvex' stands far from the address in all ten documents, 'zanthor' near it in three and far in seven."""
+    rows = [(i, f"Qorvex {'Zanthor' if i >= 3 else ''}\n{prose(i, 4)}\n{'Zanthor' if i < 3 else ''} ann@x.org")
+            for i in range(10)]
+    rows += [(i, prose(i, 4)) for i in range(100, 290)]
+    docs = docs_of(spark, rows)
+    told = {r["word"]: r["revealed"] for r in disclosure.telling_words(docs, disclosure.find_base(docs)).collect()}
+    assert told.get("qorvex") == pytest.approx(1) and told.get("zanthor") == pytest.approx(1)
+    own = {i: {w for w in (x.strip(disclosure.PUNCTUATION).lower() for x in re.findall(r"[^\x20\x09-\x0D]+", t))
+               if any(c.isalpha() for c in w)} for i, t in rows}
+    plain = {}
+    for w in set().union(*(own[i] for i in range(10))):
+        both, texts = sum(w in own[i] for i in range(10)), sum(w in x for x in own.values())
+        revealed = math.log(both * 200 / (10 * texts)) / math.log(20)
+        if both >= 3 and revealed >= disclosure.GENERALISE_FROM:
+            plain[w] = pytest.approx(revealed)
+    assert told == plain
+    assert all(not re.search("anthor|orvex", r["text"]) for r in disclosure.sanitise(docs).collect())
+
+
 def test_spans_of_odd_rows(spark):
     docs = docs_of(spark, odd_rows() + [(40, "mail a@b.co")])
     got = disclosure.find_spans(clashing(docs)).collect()
