@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    disclosure, line_windows, merkle, near_copies, packing, pieces, quality_model, rules, token_files, toxicity,
+    disclosure, line_windows, merkle, multi_index, near_copies, packing, periodic, pieces, quality_model, rules,
+    spelling, token_files, toxicity,
 )
 from barloom.llm.labelled import remainder
 from barloom.session import scratch_root
@@ -129,3 +130,21 @@ def op10_packing(spark, sf):
     """Pieces of power-of-two length, each a sequence of its own."""
     return packed_columns(packing.pack(
         table(spark, sf, "documents"), tokenizer_file(WORD_TOKENIZER), end_id=1))
+
+
+@query
+def op11_spelling(spark, sf):
+    """Every word of the vocabulary, what it is a variant of, and where the variants lead."""
+    return spelling.variants(table(spark, sf, "documents"), one_in=97)
+
+
+@query
+def op12_multi_index(spark, sf):
+    """The ten nearest vectors of every hundredth id."""
+    return multi_index.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_periodic(spark, sf):
+    """The stretches of every document, some made periodic, that repeat with a fixed period."""
+    return periodic.find_runs(table(spark, sf, "documents"), made_periodic=True)

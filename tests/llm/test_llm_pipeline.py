@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 def test_every_operator_and_the_pipeline_are_registered():
     found = contract.queries()
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
 
 
