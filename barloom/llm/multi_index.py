@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.words import mixed
+from barloom.llm.words import freeing, mixed
 from barloom.session import stored
 
 NEAREST = 10
@@ -149,7 +149,7 @@ def enough_for(indexed: DataFrame, queries: DataFrame, cells: Cells, counts: np.
             (pa.int64(), pa.float64(), pa.int64()))], names=["pilot", "score", "cell"])
 
     first = Window.partitionBy("pilot").orderBy("score", "cell")
-    found = (indexed.mapInArrow(run, "pilot long, score double, cell long")
+    found = (indexed.mapInArrow(freeing(run), "pilot long, score double, cell long")
              .withColumn("place", F.row_number().over(first)).where(F.col("place") <= most).toArrow())
     pilot, cell = found.column("pilot").to_numpy(), found.column("cell").to_numpy()
     depths = [cells.depths(x[p], counts, cell[pilot == p]) for p in np.unique(pilot).tolist()]
@@ -185,7 +185,7 @@ def placed(indexed: DataFrame, counts, shards: int) -> DataFrame:
             block = _block(cell, (mixed(ids.astype(np.uint64), 42) % parts.astype(np.uint64)).astype(np.int64))
             yield _rows(_shard(block, shards), 0, ids, matrix(batch.column("embedding")), block[:, None].tolist())
 
-    return indexed.select("vec_id", "embedding", "cell").mapInArrow(run, _ROWS)
+    return indexed.select("vec_id", "embedding", "cell").mapInArrow(freeing(run), _ROWS)
 
 
 def asked(queries: DataFrame, cells, counts, shards: int, candidates: int) -> DataFrame:
@@ -204,7 +204,7 @@ def asked(queries: DataFrame, cells, counts, shards: int, candidates: int) -> Da
                 yield _rows(own, 1, np.full(len(own), number), np.tile(row, (len(own), 1)),
                             [b.tolist() for b in np.split(block[by], first[1:])])
 
-    return queries.select("query", "embedding").mapInArrow(run, _ROWS)
+    return queries.select("query", "embedding").mapInArrow(freeing(run), _ROWS)
 
 
 _FOUND = "query long, ids array<long>, scores array<double>"
@@ -239,7 +239,7 @@ def searched(rows: DataFrame, most: int) -> DataFrame:
                 [pa.array([o[i] for o in out], kind) for i, kind in enumerate(
                     (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())))], names=["query", "ids", "scores"])
 
-    return rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(run, _FOUND)
+    return rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(freeing(run), _FOUND)
 
 
 def nearest(table: DataFrame, is_query: Column, most: int = NEAREST, recall: float = RECALL,
@@ -268,7 +268,7 @@ def nearest(table: DataFrame, is_query: Column, most: int = NEAREST, recall: flo
 
     kind = first.schema["embedding"].dataType.simpleString()
     indexed = stored(first.select("vec_id", "embedding").mapInArrow(
-        of_cells, f"vec_id long, embedding {kind}, cell long"), "cells")
+        freeing(of_cells), f"vec_id long, embedding {kind}, cell long"), "cells")
     counts = np.zeros(len(cells.first) * len(cells.second), np.int64)
     held = indexed.groupBy("cell").count().toArrow()  # a row per cell at most
     counts[held.column("cell").to_numpy()] = held.column("count").to_numpy()

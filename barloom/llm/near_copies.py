@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.components import components
-from barloom.llm.words import hashes, map_texts, mixed, slices, split_words, texts_of
+from barloom.llm.words import freeing, hashes, map_texts, mixed, slices, split_words, texts_of
 from barloom.session import stored
 
 SHINGLE = 5
@@ -165,7 +165,7 @@ def sets_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                          np.concatenate(sets).view(np.int64)))], names=["doc_id", "text_key", "shingles"])
 
     found = _keyed(docs).withColumn("place", place).mapInArrow(
-        run, "doc_id long, text_key long, shingles array<long>")
+        freeing(run), "doc_id long, text_key long, shingles array<long>")
     return (found.join(chosen, ["doc_id", "text_key"]).groupBy("class")
             .agg(F.first("shingles").alias("shingles")))
 
@@ -266,7 +266,7 @@ def confirmed(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
         yield taken()
 
     rows = blocks.select("block", "class", "label", "shingles").repartition("block")
-    return rows.sortWithinPartitions("block", "class").mapInArrow(run, "a binary, b binary")
+    return rows.sortWithinPartitions("block", "class").mapInArrow(freeing(run), "a binary, b binary")
 
 
 def _block(n: Column) -> Column:

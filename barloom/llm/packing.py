@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.tokens import word_encoder
-from barloom.llm.words import slices, texts_of
+from barloom.llm.words import freeing, slices, texts_of
 
 MOST = 2048
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, ids binary"
@@ -71,7 +71,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, most: int = MOST) -> Data
                 names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "ids"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, _PIECES).withColumn("offset", F.lit(0).cast("long")))
+            .mapInArrow(freeing(run), _PIECES).withColumn("offset", F.lit(0).cast("long")))
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.words import slices, split_words, texts_of
+from barloom.llm.words import freeing, slices, split_words, texts_of
 
 LEAST_LENGTH = 6
 LEAST_POWER = 4
@@ -290,6 +290,6 @@ def find_runs(docs: DataFrame, made_periodic: bool = False, with_text: bool = Fa
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        mark.cast("long").alias("mark"))
-    found = rows.mapInArrow(run, "doc_id long, n_runs long, start long, length long, period long, "
+    found = rows.mapInArrow(freeing(run), "doc_id long, n_runs long, start long, length long, period long, "
                                  "exponent_milli long, runs_sha256 string, collapsed_sha256 string, collapsed string")
     return found if with_text else found.drop("collapsed")

@@ -22,11 +22,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.words import gather, map_texts, texts_of
+from barloom.llm.words import freeing, gather, map_texts, task_store, texts_of
 
 MARK = "▁"
-# Words whose ids a Python worker keeps; when full, it starts anew.
-KEPT_WORDS = 300_000
+# Bytes of words and ids that a task keeps, about; when full, it starts anew.
+KEPT_BYTES = 24 << 20
+# What an entry takes beside its letters and ids.
+ENTRY_BYTES = 200
 _coders: dict[str, "PieceCoder"] = {}
 
 
@@ -69,7 +71,8 @@ class PieceCoder:
         self.automaton.make_automaton()
         # An unknown character scores so much less than the worst piece.
         self.unknown_score = least - 10.0
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = task_store()
+        self.held = 0
 
     def cut(self, text: str) -> list[int]:
         """The ids of the best cut of a marked text. Of equal scores the longer last piece wins."""
@@ -121,10 +124,16 @@ class PieceCoder:
         coded = cut.flatten().dictionary_encode()
         listed = coded.dictionary.to_pylist()
         new = [w for w in listed if w not in self.kept]
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept = {w: self.kept[w] for w in listed if w in self.kept}
+        if not self.kept:
+            self.held = 0
+        if self.held > KEPT_BYTES:
+            still = {w: self.kept[w] for w in listed if w in self.kept}
+            self.kept.clear()
+            self.kept.update(still)
+            self.held = 0
         for w in new:
             self.kept[w] = np.array(self.cut(w), "<i4").tobytes()
+            self.held += len(w) + len(self.kept[w]) + ENTRY_BYTES
         ids = [self.kept[w] for w in listed]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         word_starts, out = gather(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
@@ -160,7 +169,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(freeing(run), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:

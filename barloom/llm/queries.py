@@ -50,7 +50,8 @@ def op1_disclosure(spark, sf):
     return disclosure.find_spans(table(spark, sf, "documents")).select(
         "doc_id", *[n(k) for k in disclosure.KINDS],
         F.sha2(disclosure.listed(F.col("base")), 256).alias("base_sha256"),
-        disclosure.listed(F.concat("base", "added")).alias("spans"))
+        disclosure.listed(F.concat("base", "added")).alias("spans"),
+        (F.size("base") + F.size("added")).cast("long").alias("n_spans"), F.size("added").cast("long").alias("n_added"))
 
 
 @query

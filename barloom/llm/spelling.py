@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.words import map_texts, texts_of
+from barloom.llm.words import freeing, map_texts, texts_of
 from barloom.session import stored
 
 LEAST_LENGTH = 5
@@ -276,8 +276,9 @@ def near_words(words: DataFrame, most_listed: int = MOST_LISTED) -> DataFrame:
     found = None
     while True:
         sorted_lists = lists.repartition("list").sortWithinPartitions("list", "part")
-        links = stored(sorted_lists.mapInArrow(lambda rows: _scan(rows, most_listed), "word string, n long, other string, other_n long, "
-                                                      "short int, first int, upto int"), "near-words")
+        links = stored(sorted_lists.mapInArrow(
+            freeing(lambda rows: _scan(rows, most_listed)),
+            "word string, n long, other string, other_n long, short int, first int, upto int"), "near-words")
         own = links.where("other IS NOT NULL").select("word", "n", "other", "other_n")
         found = own if found is None else found.unionByName(own)
         left = links.where("other IS NULL")

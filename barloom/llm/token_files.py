@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.tokens import word_encoder
-from barloom.llm.words import map_texts, texts_of
+from barloom.llm.words import freeing, map_texts, texts_of
 from barloom.session import stored
 
 LENGTH = 2048
@@ -87,7 +87,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     files = len(bounds) + 1
     dealt = map_texts(docs, encode, _ENCODED).repartitionById(files, "file")
-    rows = dealt.sortWithinPartitions("doc_id", "ids").mapInArrow(write, _MANIFEST)
+    rows = dealt.sortWithinPartitions("doc_id", "ids").mapInArrow(freeing(write), _MANIFEST)
     return stored(rows, "token-files")
 
 
@@ -217,4 +217,4 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, manifest.agg(F.max("file")).first()[0] or 0) + 1
-    return asked.repartitionById(n, "file").mapInArrow(read, _FOUND)
+    return asked.repartitionById(n, "file").mapInArrow(freeing(read), _FOUND)

@@ -3,7 +3,7 @@
 For tokenizers whose pre-tokenizer drops white space, the ids of a text are the ids
 of its words, one after the other: no rule of the file reaches across white space.
 So a slice's distinct words go through the tokenizers library once, and frequent
-ones stay in a bounded store of the worker.
+ones stay in a bounded store until the task ends.
 """
 
 import os
@@ -12,10 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from barloom.llm.words import gather, split_words
+from barloom.llm.words import gather, split_words, task_store
 
-# Words whose ids a Python worker keeps; when full, it starts anew.
-KEPT_WORDS = 300_000
+# Bytes of words and ids that a task keeps, about; when full, it starts anew.
+KEPT_BYTES = 24 << 20
+# What an entry takes beside its letters and ids.
+ENTRY_BYTES = 150
 # A letter of Latin-1, then dots or commas up to the word's end: always two tokens apart.
 STOPS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,]+)$"
 PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
@@ -39,7 +41,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = task_store()
+        self.held = 0
         # What the byte-level pre-tokenizer makes of the lower-case letters of Latin-1.
         self.bytes_of = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[0][0]
                          for c in range(0xC0, 0x100) if chr(c).isalpha()}
@@ -66,9 +69,15 @@ class WordEncoder:
         new = [w for w in listed if w not in self.kept]
         if new:
             plain = pc.match_substring_regex(pa.array(new, pa.string()), PLAIN).to_pylist()
-            if len(self.kept) + len(new) > KEPT_WORDS:
-                self.kept = {w: self.kept[w] for w in listed if w in self.kept}
-            self.kept.update(zip(new, self._ids(new, plain)))
+            made = self._ids(new, plain)
+            size = sum(map(len, new)) + sum(map(len, made)) + ENTRY_BYTES * len(new)
+            self.held = size + (self.held if self.kept else 0)
+            if self.held > KEPT_BYTES:
+                still = {w: self.kept[w] for w in listed if w in self.kept}
+                self.kept.clear()
+                self.kept.update(still)
+                self.held = size
+            self.kept.update(zip(new, made))
         ids = [self.kept[w] for w in listed]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         return (np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
