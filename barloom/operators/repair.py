@@ -62,21 +62,25 @@ def clip_bounds(
     return found.select(SERIES, *bounds)
 
 
+def _clipped(c: str, bounded: str) -> Column:
+    x, low, high = f"CAST(`{c}` AS DOUBLE)", f"`_low_{bounded}`", f"`_high_{bounded}`"
+    return F.expr(f"CASE WHEN {x} < {low} THEN {low} WHEN {x} > {high} THEN {high} ELSE {x} END")
+
+
+def _bounded(bounds: DataFrame, df: DataFrame) -> list[str]:
+    columns = [c.removeprefix("_low_") for c in bounds.columns if c.startswith("_low_")]
+    return [c for c in columns if c in df.columns]
+
+
 def clip(df: DataFrame, bounds: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Clip to the bounds; missing values stay missing, results are doubles.
 
     A series without bounds (not seen when they were fitted) is left as it is.
     """
-    columns = [c.removeprefix("_low_") for c in bounds.columns if c.startswith("_low_")]
-    columns = [c for c in columns if c in df.columns]
+    columns = _bounded(bounds, df)
     per_series = series_lengths(df).join(bounds, SERIES, "left")
     df = join_per_series(df, per_series, block_rows)
-
-    def clipped(c: str) -> Column:
-        x, low, high = f"CAST(`{c}` AS DOUBLE)", f"`_low_{c}`", f"`_high_{c}`"
-        return F.expr(f"CASE WHEN {x} < {low} THEN {low} WHEN {x} > {high} THEN {high} ELSE {x} END")
-
-    return df.withColumns({c: clipped(c) for c in columns}).drop(
+    return df.withColumns({c: _clipped(c, c) for c in columns}).drop(
         "_n", *[c for c in bounds.columns if c != SERIES]
     )
 
@@ -85,18 +89,40 @@ def fill_gaps(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Forward fill, then backward fill, then 0.
 
     What lies outside a row's block comes from a table with a row per block, joined on
-    (series, block); inside a block one running window is enough. ``df`` is read twice.
+    (series, block); inside a block one running window is enough. ``df`` is read for each: a stored
+    table, best.
     """
     columns = [c for c in df.columns if not c.startswith("_")]
-    so_far = Window.partitionBy(*KEYS).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     blocked = in_blocks(df, block_rows).join(known_values(df, columns, block_rows), KEYS)
-    types = {f.name: f.dataType for f in df.schema}
+    return _filled(blocked, columns, [c for c in df.columns if c.startswith("_")])
+
+
+def _filled(blocked: DataFrame, columns: Sequence[str], further: Sequence[str]) -> DataFrame:
+    """Blocks joined with their known values, filled."""
+    so_far = Window.partitionBy(*KEYS).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    types = {f.name: f.dataType for f in blocked.schema}
 
     def filled(c: str) -> Column:
         values = [F.last(c, ignorenulls=True).over(so_far), F.col(f"_before_{c}"), F.col(f"_first_{c}")]
         return F.coalesce(*values, *zero(types[c])).alias(c)
 
-    return blocked.select(*[filled(c) for c in columns], *[c for c in df.columns if c.startswith("_")])
+    return blocked.select(*[filled(c) for c in columns], *further)
+
+
+def clip_and_fill(df: DataFrame, bounds: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``fill_gaps`` of ``clip`` for a stored table.
+
+    Clipping changes no gap, so the known values are taken from the table as it is and clipped themselves:
+    the clipped rows are made once. Known values and bounds come as one table with a row per block.
+    """
+    columns = [c for c in df.columns if not c.startswith("_")]
+    bounded = _bounded(bounds, df)
+    limits = [c for c in bounds.columns if c != SERIES]
+    known = known_values(df, columns, block_rows).join(bounds, SERIES, "left").withColumns(
+        {f"_{k}_{c}": _clipped(f"_{k}_{c}", c) for c in bounded for k in ("before", "first")})
+    blocked = in_blocks(df, block_rows).join(stored(known, "known-clipped"), KEYS).withColumns(
+        {c: _clipped(c, c) for c in bounded}).drop(*limits)
+    return _filled(blocked, columns, [c for c in df.columns if c.startswith("_")])
 
 
 def zero(kind: T.DataType) -> list[Column]:
@@ -127,4 +153,4 @@ def repair(
         bounds = clip_bounds(
             table, fit_scope=fit_scope, block_rows=block_rows, sample_rows=sample_rows
         )
-    return fill_gaps(clip(table, bounds, block_rows), block_rows)
+    return clip_and_fill(table, bounds, block_rows)

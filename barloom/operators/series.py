@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.session import stored
 
@@ -153,24 +154,44 @@ def carried_values(
     return blocks.select(*KEYS, *[before(n).alias(f"{prefix}{n}") for n in columns])
 
 
+# Columns that one aggregation looks at: more would exceed what Spark compiles into one loop.
+AGGREGATED = 16
+
+
 def known_values(df: DataFrame, columns: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per (series, block): ``_before_<c>``, the last value known before the block, and
     ``_first_<c>``, the first one known in the series.
 
-    One aggregation with map-side partials; the result, a row per block, is stored so that
-    its size is known when it is joined.
+    Hash aggregations with map-side partials, ``AGGREGATED`` columns each, so that each reads only its
+    columns and no row is sorted. Text can't be held in such an aggregation: its positions are, and the
+    text is looked up. The result, a row per block, is stored so that its size is known when it is joined.
     """
-    aggs = []
-    for c in columns:
-        at = F.when(F.col(c).isNotNull(), F.col(POS))
-        aggs += [F.max_by(c, at).alias(f"_last_{c}"), F.min_by(c, at).alias(f"_own_{c}")]
-    blocks = in_blocks(df, block_rows).groupBy(*KEYS).agg(*aggs)
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))]
+    rest = [c for c in columns if c not in texts]
     by_block = Window.partitionBy(SERIES).orderBy(BLOCK)
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
     whole = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return stored(blocks.select(*KEYS, *[x for c in columns for x in (
-        F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_before_{c}"),
-        F.first(f"_own_{c}", ignorenulls=True).over(whole).alias(f"_first_{c}"))]), "known")
+
+    def carried(part: Sequence[str], last: Callable[[str, Column], Column],
+                first: Callable[[str, Column], Column]) -> DataFrame:
+        aggs = []
+        for c in part:
+            at = F.when(F.col(c).isNotNull(), F.col(POS))
+            aggs += [last(c, at).alias(f"_last_{c}"), first(c, at).alias(f"_own_{c}")]
+        blocks = in_blocks(df.select(SERIES, POS, *part), block_rows).groupBy(*KEYS).agg(F.count("*").alias("_rows"), *aggs)
+        return blocks.select(*KEYS, *[x for c in part for x in (
+            F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_before_{c}"),
+            F.first(f"_own_{c}", ignorenulls=True).over(whole).alias(f"_first_{c}"))])
+
+    known = carried(texts, lambda c, at: F.max(at), lambda c, at: F.min(at))
+    for c in texts:
+        found = df.select(F.col(SERIES).alias("_of"), F.col(POS).alias("_at"), F.col(c).alias("_text"))
+        for name in (f"_before_{c}", f"_first_{c}"):
+            known = known.join(found, (F.col(SERIES) == F.col("_of")) & (F.col(name) == F.col("_at")), "left").withColumn(
+                name, F.col("_text")).drop("_of", "_at", "_text")
+    for k in range(0, len(rest), AGGREGATED):
+        known = known.join(carried(rest[k:k + AGGREGATED], F.max_by, F.min_by), KEYS)
+    return stored(known, "known")
 
 
 def series_lengths(df: DataFrame) -> DataFrame:
