@@ -95,7 +95,8 @@ def secrets(spark):
     rows = [(i, f"{prose(i, 2)}\n{prose(i + 900, 1)} mail u{i}@x{i}.org then token = \"{digest(i)}\" {prose(i + 300, 1)}")
             for i in range(14)]
     rows += [(i, f"{prose(i, 3)} token = \"{digest(i)}\" and so on\n{prose(i + 500, 1)}") for i in range(20, 25)]
-    rows += [(i, prose(i, 4) + (f" number {digest(i)}" if i % 3 == 0 else "")) for i in range(100, 260)]
+    rows += [(i, prose(i, 4) + (f" nothing {i}" if i % 3 == 0 else "")) for i in range(100, 260)]
+    rows += [(300, f"{prose(300)} {digest(300)} alone")]  # no cue before it
     # Near copies around one address prove nothing about their other words.
     rows += [(i, f"{prose(7000, 3)} xylograph w{i} one@and.only") for i in range(400, 430)]
     rows += [(i, f"{prose(i, 2)} xylograph") for i in range(440, 444)]
@@ -109,25 +110,29 @@ def test_words_that_reveal_a_kind_and_what_they_point_to(spark):
     told = {r["word"]: r for r in disclosure.telling_words(docs, found).collect()}
     own = {i: {w for w in (x.strip(disclosure.PUNCTUATION).lower() for x in re.findall(r"[^\x20\x09-\x0D]+", t))
                if any(c.isalpha() for c in w)} for i, t in rows}
-    emails = {i: {t[s:e] for _, s, e in plain_base(t)} for i, t in rows}
-    plain, n, n_any = {}, len(rows), sum(map(bool, emails.values()))
-    for w in set().union(*own.values()):
-        values = {min(emails[i]) for i in own if emails[i] and w in own[i]}
-        both, texts = sum(bool(emails[i]) and w in own[i] for i in own), sum(w in x for x in own.values())
-        if len(values) >= disclosure.LEAST_VALUES:
-            revealed = math.log(both * n / (n_any * texts)) / math.log(n / n_any)
-            if revealed >= disclosure.GENERALISE_FROM:
-                plain[w] = pytest.approx(revealed)
+    held = {i: {f"email:{t[s:e]}" for _, s, e in plain_base(t)} | {f"secret:{x}" for x in re.findall("[0-9a-f]{40}", t)}
+            for i, t in rows}
+    plain, n = {}, len(rows)
+    for kind in ("email:", "secret:", ""):
+        has = {i: any(x.startswith(kind) for x in held[i]) for i in held}
+        for w in set().union(*own.values()):
+            values = {min(held[i]) for i in own if has[i] and w in own[i]}
+            both, texts = sum(has[i] and w in own[i] for i in own), sum(w in x for x in own.values())
+            if len(values) >= disclosure.LEAST_VALUES:
+                revealed = math.log(both * n / (sum(has.values()) * texts)) / math.log(n / sum(has.values()))
+                if revealed >= max(disclosure.GENERALISE_FROM, plain.get(w, 0)):
+                    plain[w] = revealed
+    plain = {w: pytest.approx(x) for w, x in plain.items()}
     assert {w: r["revealed"] for w, r in told.items() if r["cue"]} == plain and "token" in plain
     spans = {r["doc_id"]: r["added"] for r in disclosure.find_spans(docs).collect()}
     for i, t in rows:
         secret = re.search('token = "([0-9a-f]+)"', t)
         ends = {(s["start"], s["end"]) for s in spans[i] if s["kind"] == "remove"}
         assert not secret or secret.span(1) in ends
-        assert not (100 <= i < 260 and any(re.fullmatch("[0-9a-f]{40}", t[s["start"]:s["end"]]) for s in spans[i]))
+        assert i != 300 or not any(re.fullmatch("[0-9a-f]{40}", t[s["start"]:s["end"]]) for s in spans[i])
     texts = {r["doc_id"]: r["text"] for r in disclosure.sanitise(docs).collect()}
     assert not any(re.search("[0-9a-f]{40}", texts[i]) for i in [*range(14), *range(20, 25)])
-    assert all(re.search("number [0-9a-f]{40}", texts[i]) for i in range(102, 260, 3))
+    assert re.search("[0-9a-f]{40}", texts[300])
 
 
 def test_spans_of_odd_rows(spark):
