@@ -313,9 +313,10 @@ def links_between_blocks(members: DataFrame, sets: DataFrame, labels: DataFrame,
 
 
 def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id and kept of every row, linked from ``percent`` on.
+    """doc_id, text_key, n_shingles, component_id, kept and first of every row, linked from ``percent`` on.
 
-    ``component_id`` is the smallest id that links lead to; ``kept`` marks its document.
+    ``component_id`` is the smallest id that links lead to; ``kept`` marks its document. Where several
+    texts of a group have that id (repeated or null ids), ``first`` marks the one with the smallest text_key.
     """
     signed = stored(signatures(docs, percent), "signatures")
     members, chosen = buckets_of(signed)
@@ -325,24 +326,29 @@ def near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     further = stored(links_between_blocks(members, sets, labels, percent), "links-between")
     if not further.isEmpty():
         labels = components(links.union(further))
-    ids = signed.groupBy("class").agg(F.min("doc_id").alias("least")).join(
+    ids = signed.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("least")).join(
         labels.select(F.col("vertex").alias("class"), "label"), "class", "left")
     ids = stored(ids.select("class", "least", F.coalesce("label", "class").alias("label")), "class-ids")
     # The links' ends are few; the other classes are their own groups.
     grouped = ids.join(labels.select(F.col("vertex").alias("class")), "class", "left_semi").groupBy(
         "label").agg(F.min("least").alias("group_least"))
     known = ids.join(grouped, "label", "left").select(
-        F.col("class").alias("_class"), F.coalesce("group_least", "least").alias("component"))
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    out = signed.join(known, F.col("class") == F.col("_class"), "left").withColumn("component", component)
+        F.col("class").alias("_class"), F.coalesce("group_least", "least").alias("least"))
+    own = F.struct("doc_id", "text_key")
+    least = F.when(F.col("n_shingles") == 0, own).otherwise(F.col("least"))
+    out = signed.join(known, F.col("class") == F.col("_class"), "left").withColumn("least", least).withColumn(
+        "component", F.col("least.doc_id"))
     return out.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text_key", "n_shingles",
                       F.nullif("component", F.lit(NO_ID)).alias("component_id"),
-                      (F.col("doc_id") == F.col("component")).alias("kept"))
+                      (F.col("doc_id") == F.col("component")).alias("kept"), (own == F.col("least")).alias("first"))
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the near copies of documents with smaller ids, other rows unchanged."""
-    gone = near_copies(docs, percent).where(~F.col("kept")).select(
+    """``docs`` with one document of each group of near copies, that of the smallest id, other rows unchanged.
+
+    Rows with equal ids and texts are one document and stay together.
+    """
+    gone = near_copies(docs, percent).where(~F.col("first")).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     text = F.coalesce(F.col("docs.text").cast("string"), F.lit(""))
     return docs.alias("docs").join(

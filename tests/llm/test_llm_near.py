@@ -69,6 +69,22 @@ def test_first_of_each_group_stays(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _, c in plain_groups(near_rows()) if d == c}
 
 
+def test_one_text_of_a_group_stays_where_ids_tie(spark):
+    base = prose(21, 12)
+    near = [base + "\n" + x for x in ("one", "two", "three")]
+    alone = prose(22, 12)
+    # Three near copies without an id, two with one id, and that id again on a text of its own.
+    rows = [(None, t) for t in near] + [(7, alone), (7, prose(23) + "."), (7, prose(23) + ". end")]
+    kept = [(r["doc_id"], r["text"]) for r in near_copies.keep_first(docs_of(spark, rows), percent=80).collect()]
+    assert len([t for i, t in kept if i is None]) == 1 and (7, alone) in kept
+    assert len(kept) == 3
+    flags = near_copies.near_copies(docs_of(spark, rows + rows), percent=80)
+    assert flags.where("first").count() == 6 and not flags.where("first AND NOT kept").count()
+    # Texts without a word are linked with nothing.
+    blank = docs_of(spark, [(None, None), (None, ""), (None, " "), (1, "")])
+    assert near_copies.keep_first(blank).count() == 4
+
+
 def apart(n, seed):
     """A text of 84 different words, and one with ``n`` of its 80 shingles changed."""
     words = [f"s{seed}w{k}" for k in range(84)]
