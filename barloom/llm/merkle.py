@@ -73,13 +73,20 @@ def changed(a: Column, b: Column) -> Column:
 def locate_edits(old: DataFrame, new: DataFrame) -> DataFrame:
     """Where documents of ``new`` differ from ``old``: doc_id and paragraph (from 0).
 
-    Both have ``doc_id`` (once each) and ``tree``.
+    Both have ``doc_id`` and ``tree``. Documents without a counterpart are left out; null ids are
+    counterparts of null ids. Of rows with an equal id every version of ``new`` is compared with
+    every one of ``old``, and a place is given if it differs from any.
     """
     both = new.select("doc_id", F.col("tree").alias("new")).join(
-        old.select("doc_id", F.col("tree").alias("old")), "doc_id").where("new.root <> old.root")
-    lost = both.select("doc_id", F.explode(changed(F.col("new"), F.col("old"))).alias("digest"))
-    every = both.select("doc_id", F.posexplode(paragraphs(F.col("new"))).alias("paragraph", "digest"))
-    return every.join(lost, ["doc_id", "digest"], "left_semi").select("doc_id", "paragraph")
+        old.select(F.col("doc_id").alias("_id"), F.col("tree").alias("old")),
+        F.col("doc_id").eqNullSafe(F.col("_id"))).where("new.root <> old.root")
+    lost = both.select(F.col("doc_id").alias("_id"), F.col("new.root").alias("_root"),
+                       F.explode(changed(F.col("new"), F.col("old"))).alias("_digest"))
+    every = both.select("doc_id", F.col("new.root").alias("root"),
+                        F.posexplode(paragraphs(F.col("new"))).alias("paragraph", "digest"))
+    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("root") == F.col("_root"))
+            & (F.col("digest") == F.col("_digest")))
+    return every.join(lost, same, "left_semi").select("doc_id", "paragraph").distinct()
 
 
 def _blocks(docs: DataFrame, size: int) -> list[int]:

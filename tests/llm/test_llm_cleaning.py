@@ -230,6 +230,15 @@ def test_roots_tell_equal_texts_and_branches_the_edits(spark):
     assert {(r["doc_id"], r["paragraph"]) for r in merkle.locate_edits(old, new).collect()} == {(1, 12), (2, 20)}
 
 
+def test_places_of_edits_of_odd_rows(spark):
+    old = merkle.fingerprints(docs_of(spark, [(None, "a\nb\nc"), (1, "a\nb"), (1, "a\nc"), (2, "x"), (4, None)]))
+    new = merkle.fingerprints(docs_of(spark, [(None, "a\nB\nc"), (1, "a\nb"), (3, "y"), (4, "z"), (4, "z")]))
+    # The text of id 1 equals one old version and differs from the other; ids 2 and 3 have no counterpart.
+    assert sorted(map(str, merkle.locate_edits(old, new).collect())) == sorted(
+        f"Row(doc_id={i}, paragraph={p})" for i, p in ((None, 1), (1, 1), (4, 0)))
+    assert merkle.locate_edits(old.limit(0), new).count() == merkle.locate_edits(old, new.limit(0)).count() == 0
+
+
 def test_edited_texts_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(merkle.with_next, "__defaults__", (3,))
     rows = [(i, t) for i, t in enumerate([prose(1), "", prose(2), "é😀" * 9, "x", prose(3, 30), prose(2), "", prose(9)])]
