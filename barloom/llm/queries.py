@@ -35,10 +35,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def packed_columns(cut: DataFrame) -> DataFrame:
-    """What is reported of packed pieces: a checksum stands for the ids."""
+def packed_columns(cut: DataFrame, *further: str) -> DataFrame:
+    """What is reported of packed pieces: a checksum stands for the ids, unless they are asked for."""
     return cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
-                      "doc_tokens", "sequence_id", "offset")
+                      "doc_tokens", "sequence_id", "offset", *further)
 
 
 @query
@@ -116,7 +116,7 @@ def op7_quality(spark, sf):
 @query
 def op8_line_windows(spark, sf):
     """Every document without the lines of passages that stand elsewhere already."""
-    done = line_windows.drop_repeats(table(spark, sf, "documents"))
+    done = line_windows.drop_repeats(table(spark, sf, "documents").select("doc_id", "text"))
     return done.select("doc_id", "text", "n_removed")
 
 

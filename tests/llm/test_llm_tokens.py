@@ -131,3 +131,19 @@ def test_round_trip_of_odd_rows(spark):
     back = pieces.decode(encoded, PIECES).where(F.col("doc_id") == 10).first()
     assert back["text"] == "x y\n" * 3_000
     assert pieces.round_trip(docs.limit(0), PIECES).count() == 0
+
+
+def test_buckets_hold_one_length_each(spark, tmp_path):
+    rows = [(i, prose(i, 3 + i)) for i in range(6)] + odd_rows()
+    pieces_ = packing.pack(docs_of(spark, rows), WORDS, end_id=1, most=256)
+    packing.write_buckets(pieces_, str(tmp_path / "buckets"))
+    want = sorted((r["length"], r["sequence_id"], bytes(r["ids"])) for r in pieces_.collect())
+    back = []
+    for folder in (tmp_path / "buckets").glob("length=*"):
+        length = int(folder.name.split("=")[1])
+        for r in spark.read.parquet(str(folder)).collect():
+            assert len(r["ids"]) == 4 * length
+            back.append((length, r["sequence_id"], bytes(r["ids"])))
+    assert sorted(back) == want
+    packing.write_buckets(packing.pack(docs_of(spark, []), WORDS, 1), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").glob("length=*"))
