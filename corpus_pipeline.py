@@ -38,8 +38,11 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of power-of-two length that the texts' ids are cut into."""
-    return packed_columns(packing.pack(docs, tokenizer_file(WORD_TOKENIZER), end_id=1))
+    """The pieces of power-of-two length that the texts' ids are cut into, with the ids themselves.
+
+    ``ids`` holds unsigned little-endian 32-bit numbers; ``packing.write_buckets`` writes the rows by length.
+    """
+    return packed_columns(packing.pack(docs, tokenizer_file(WORD_TOKENIZER), end_id=1), "ids")
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_copies", near), ("personal", personal),
