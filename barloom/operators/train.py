@@ -19,6 +19,7 @@ from barloom.operators.split import add_fold
 MODEL_TYPES = ("random_forest",)
 CV_METRICS = ("mse", "rmse", "mae", "r2")
 VECTOR = "_features"
+LEAST = {"numTrees": 1, "maxDepth": 0, "minInstancesPerNode": 1, "maxBins": 2}
 
 
 def make_model(
@@ -31,7 +32,8 @@ def make_model(
     """An unfitted model. ``params`` are forest parameters by their Spark name.
 
     Every split may look at all features (regression forests do), which makes
-    the trees differ by their bootstrap samples only.
+    the trees differ by their bootstrap samples only. A tree of depth 0 is the
+    mean of its rows; there must be a tree, and no depth is below 0.
     """
     if model_type not in MODEL_TYPES:
         raise ValueError(f"unsupported model type: {model_type}")
@@ -40,6 +42,9 @@ def make_model(
         "minInstancesPerNode": config.MIN_LEAF, "maxBins": 256,
         "featureSubsetStrategy": "all",
     } | params
+    for name, least in LEAST.items():
+        if settings[name] < least:
+            raise ValueError(f"{name} must be at least {least}, got {settings[name]}")
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol=VECTOR),
         RandomForestRegressor(

@@ -52,10 +52,17 @@ def append_run(
     spark: SparkSession, path: str, run_id: str, values: dict[tuple[str, str], float]
 ) -> None:
     """Add one run to the run table: ``(kind, name) -> value``, where kind is
-    param, cv, train, validation, test or importance."""
+    param, cv, train, validation, test or importance.
+
+    A run has a folder of its own, with one file. A run of the same id is replaced, so a
+    job that is tried again counts once; other runs are not touched. Values that are None are left out.
+    """
+    if not run_id:
+        raise ValueError("a run needs an id")
     rows = [(run_id, kind, name, float(v)) for (kind, name), v in values.items() if v is not None]
-    spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("append").parquet(path)
+    (spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(path)
+    return spark.read.schema(RUNS).parquet(path).select("run_id", "kind", "name", "value")

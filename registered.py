@@ -29,6 +29,7 @@ from barloom.operators.split import (
 from barloom.operators.train import cross_validate, cv_summary, grid_search, importances, predict, train
 from barloom.operators.validate import quality_report, quality_summary, unreadable_values
 from barloom.plans.etl import prepare_bars
+from barloom.plans.training import run_values
 from barloom.schema import parse_date
 from barloom.session import scratch_root, stored
 from barloom.sources.bars import read_bars_csv, read_bars_parquet, read_raw_csv
@@ -490,6 +491,47 @@ def m_grid_search(spark, sf):
     return grid_search(rows, data.preprocessor.features, grid=grid, n_folds=2)
 
 
+# Training whose result SQL can tell: a tree of depth 0 over all rows is the mean of
+# its training rows. Folds, scores, grid and run table are those of any forest.
+
+MEAN = {"numTrees": 1, "maxDepth": 0, "bootstrap": False}
+MEAN_FEATURES = ["High", "Low", "Open", "Volume"]
+
+
+def split_bars(spark, sf) -> DataFrame:
+    return stored(add_split(event_bars(spark, sf)), "split-bars")
+
+
+@query
+def m_mean_predictions(spark, sf):
+    table = split_bars(spark, sf)
+    result = train(table, MEAN_FEATURES, perform_cv=False, **MEAN)
+    return rounded(predict(result.model, table).select("Symbol", "SNo", "split", "Close", "prediction"))
+
+
+@query
+def m_mean_cross_validation(spark, sf):
+    rows = split_bars(spark, sf).where("split = 'train'")
+    return rounded(cross_validate(rows, MEAN_FEATURES, **MEAN), 4)
+
+
+@query
+def m_mean_grid_search(spark, sf):
+    rows = split_bars(spark, sf).where("split = 'train'")
+    return rounded(grid_search(rows, MEAN_FEATURES, grid={k: [v] for k, v in MEAN.items()} | {"numTrees": [2, 1]}), 4)
+
+
+@query
+def s_training_runs(spark, sf):
+    """The run table of a training with cross-validation that was tried twice, beside another run."""
+    path = scratch(spark, "runs")
+    append_run(spark, path, "tried twice", {("data", "lost"): 1.0, ("cv", "mse_mean"): -1.0})
+    append_run(spark, path, "other", {("param", "numTrees"): 7, ("cv", "none"): None})
+    result = train(split_bars(spark, sf), MEAN_FEATURES, **MEAN)
+    append_run(spark, path, "tried twice", run_values(result))
+    return rounded(read_runs(spark, path), 4)
+
+
 # Batch scoring
 
 def requests(spark, sf) -> DataFrame:

