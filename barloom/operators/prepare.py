@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.quantiles import SAMPLE_ROWS, exact_quantiles, quantile_name
+from barloom.operators.quantiles import SORTED_ROWS, exact_quantiles, quantile_name
 from barloom.operators.series import BLOCK_ROWS, KEYS, POS, in_blocks, number_rows
 from barloom.schema import numeric_columns
 from barloom.session import stored
@@ -67,11 +67,11 @@ class Statistics:
 
     @staticmethod
     def fit(
-        df: DataFrame, features: Sequence[str], sample_rows: int = SAMPLE_ROWS
+        df: DataFrame, features: Sequence[str], sorted_rows: int = SORTED_ROWS
     ) -> "Statistics":
         """Fit on the rows given; missing values are imputed before mean and sd."""
         medians = exact_quantiles(
-            df, features, [0.5], whole_table=True, sample_rows=sample_rows
+            df, features, [0.5], whole_table=True, sorted_rows=sorted_rows
         ).first()
         median = {c: medians[quantile_name(c, 0)] if medians else None for c in features}
         filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(median[c])) for c in features}

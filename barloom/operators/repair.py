@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom import config
-from barloom.operators.quantiles import SAMPLE_ROWS, exact_quantiles, quantile_name
+from barloom.operators.quantiles import SORTED_ROWS, exact_quantiles, quantile_name
 from barloom.operators.series import (
     BLOCK_ROWS, KEYS, POS, SERIES, in_blocks, join_per_series, known_values, series_lengths,
 )
@@ -38,7 +38,7 @@ def clip_bounds(
     reach: float = config.CLIP_REACH,
     ratios: tuple[float, float, float] = config.SPLIT_RATIOS,
     block_rows: int = BLOCK_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
+    sorted_rows: int = SORTED_ROWS,
 ) -> DataFrame:
     """Per series: ``_low_<c>`` and ``_high_<c>``. ``fit_scope="train"`` looks only
     at the training part of each series, "all" at the whole of it."""
@@ -52,7 +52,7 @@ def clip_bounds(
             F.col(POS) <= train_end(F.col("_n"), ratios)
         ).drop("_n")
     found = exact_quantiles(
-        fitted, columns, quantiles, sample_rows=sample_rows, block_rows=block_rows
+        fitted, columns, quantiles, sorted_rows=sorted_rows, block_rows=block_rows
     )
     bounds = []
     for c in columns:
@@ -137,7 +137,7 @@ def repair(
     bounds: DataFrame | None = None,
     fit_scope: str = "all",
     block_rows: int = BLOCK_ROWS,
-    sample_rows: int = SAMPLE_ROWS,
+    sorted_rows: int = SORTED_ROWS,
     store: bool = True,
 ) -> DataFrame:
     """All repair steps. With ``bounds`` given (scoring) nothing is fitted.
@@ -151,6 +151,6 @@ def repair(
         table = stored(table, "features")
     if bounds is None:
         bounds = clip_bounds(
-            table, fit_scope=fit_scope, block_rows=block_rows, sample_rows=sample_rows
+            table, fit_scope=fit_scope, block_rows=block_rows, sorted_rows=sorted_rows
         )
     return clip_and_fill(table, bounds, block_rows)

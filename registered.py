@@ -308,6 +308,17 @@ def r_bounds_many_symbols(spark, sf):
     ), 2)
 
 
+@query
+def r_bounds_long_series(spark, sf):
+    """One series longer than what is sorted at once; one column is known in every 200th row."""
+    names = ["Open", "Close", "High"]
+    df = long_series(spark, sf).withColumn("High", F.when(F.col(POS) % 200 == 0, F.col("Open")))
+    return rounded(clip_bounds(df, names, block_rows=1024).select(
+        F.expr("substring(_series, 2)").alias("Symbol"),
+        *[F.col(f"_{k}_{c}").alias(f"{c}_{k}") for c in names for k in ("low", "high")],
+    ))
+
+
 @query
 def r_bounds_of_training_part(spark, sf):
     df = clip_bounds(damaged_values(spark, sf), VALUES, fit_scope="train")

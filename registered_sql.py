@@ -475,6 +475,11 @@ SELECT fold::INTEGER AS fold, Symbol, SNo, CASE WHEN SNo <= cut THEN 'train' ELS
               "CURRENT ROW), first_value(Close IGNORE NULLS) OVER (ORDER BY SNo ROWS BETWEEN UNBOUNDED PRECEDING "
               "AND UNBOUNDED FOLLOWING), 0)")
     out["r_fill_long_series"] = f"WITH {events} SELECT SNo, {rnd('Open')} AS Open, {rnd(filled)} AS Close FROM gaps"
+    names_of_long = ["Open", "Close", "High"]
+    four = ", ".join(f"{rnd(f'{c}_{k}')} AS {c}_{k}" for c in names_of_long for k in ("low", "high"))
+    out["r_bounds_long_series"] = (
+        f"WITH {events}, long AS (SELECT 'all' AS Symbol, *, CASE WHEN SNo % 200 = 0 THEN Open END AS High FROM gaps), "
+        f"{bounds_cte(names_of_long, 'long')} SELECT Symbol, {four} FROM bounds")
 
     out["b_request_rules"] = request_sql()
 

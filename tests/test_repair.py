@@ -34,13 +34,13 @@ def spiky(lengths, **kw):
     return bars
 
 
-@pytest.mark.parametrize("sample_rows", [20_000, 500])
-def test_quantiles_are_exact(spark, sample_rows):
+@pytest.mark.parametrize("sorted_rows", [4096, 3])
+def test_quantiles_are_exact(spark, sorted_rows):
     bars = spiky({"AAA": 4000, "BBB": 300, "CCC": 1}, null_share=0.1)
     bars.loc[bars["Symbol"] == "BBB", "Volume"] = np.nan
     df = positioned(spark, bars)
     probs = [0.01, 0.5, 0.99]
-    got = exact_quantiles(df, COLS, probs, sample_rows=sample_rows, block_rows=512)
+    got = exact_quantiles(df, COLS, probs, sorted_rows=sorted_rows, block_rows=512)
     got = got.toPandas().set_index("_series")
     for symbol, part in bars.groupby("Symbol"):
         for c in COLS:
@@ -55,7 +55,7 @@ def test_quantiles_of_whole_table_with_ties(spark):
     bars = make_bars({"AAA": 3000, "BBB": 50})
     bars.loc[bars.index < 2000, "Close"] = 5.0  # two thirds of the rows are one value
     got = exact_quantiles(
-        positioned(spark, bars), ["Close", "Open"], [0.5, 0.9], whole_table=True, sample_rows=400
+        positioned(spark, bars), ["Close", "Open"], [0.5, 0.9], whole_table=True, sorted_rows=5
     ).collect()
     assert len(got) == 1
     for c in ("Close", "Open"):
@@ -63,15 +63,57 @@ def test_quantiles_of_whole_table_with_ties(spark):
             assert got[0][quantile_name(c, i)] == pytest.approx(bars[c].quantile(p), rel=1e-12)
 
 
-def test_bracket_that_misses_is_searched_again(spark, monkeypatch):
-    from barloom.operators import quantiles
-    monkeypatch.setattr(quantiles, "_bracket", lambda p, m: (0.9, 0.95))
-    bars = make_bars({"AAA": 3000, "BBB": 30})
-    got = exact_quantiles(positioned(spark, bars), ["Close"], [0.01, 0.5], sample_rows=300)
-    got = {r["_series"]: r for r in got.collect()}
-    close = bars[bars["Symbol"] == "AAA"]["Close"]
-    assert got["+AAA"][quantile_name("Close", 0)] == pytest.approx(close.quantile(0.01), rel=1e-12)
-    assert got["+AAA"][quantile_name("Close", 1)] == pytest.approx(close.quantile(0.5), rel=1e-12)
+def test_quantiles_of_odd_values(spark):
+    """Signs, magnitudes, neighbouring doubles, infinities, single and missing values."""
+    one = float(np.nextafter(1.0, 2.0))
+    lists = {
+        "mixed": [-1e308, -3.5, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 2.0, 7.0, 1e308],
+        "close": [1.0] * 40 + [one] * 41 + [float(np.nextafter(one, 2.0))] * 3,
+        "tiny": [5e-324] * 7 + [1e-323] * 8,
+        "ends": [float("-inf")] * 3 + [0.5] + [float("inf")] * 4,
+        "single": [4.0], "none": [None, None], "partly": [None, 3.0, float("nan"), 1.0],
+        "spread": [float(x) for x in np.exp(np.random.default_rng(5).normal(0, 40, 300))],
+    }
+    rows = [(s, k + 1, x) for s, xs in lists.items() for k, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "_series string, _pos long, x double")
+    probs = [0.0, 0.01, 0.3, 0.5, 0.99, 1.0]
+    for sorted_rows in (1, 4096):
+        got = {r["_series"]: r for r in exact_quantiles(df, ["x"], probs, sorted_rows=sorted_rows).collect()}
+        assert {s: r["_n"] for s, r in got.items()} == {s: len(xs) for s, xs in lists.items()}
+        for s, xs in lists.items():
+            known = sorted(x for x in xs if x is not None and x == x)
+            for i, p in enumerate(probs):
+                if not known:
+                    assert got[s][quantile_name("x", i)] is None
+                    continue
+                k = int(p * (len(known) - 1))
+                low, high = known[k], known[min(k + 1, len(known) - 1)]
+                want = low if low == high else low + (high - low) * (p * (len(known) - 1) - k)
+                # Between infinities of both signs it is NaN.
+                np.testing.assert_equal(got[s][quantile_name("x", i)], want, err_msg=f"{s} {p}")
+
+
+def test_quantiles_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "_series string, _pos long, x double")
+    assert exact_quantiles(df, ["x"], [0.5]).collect() == []
+    assert exact_quantiles(df, ["x"], [0.5], whole_table=True).collect() == []
+
+
+def test_a_long_series_with_few_values(spark):
+    """One series is nearly the whole table, and one of its columns is nearly empty."""
+    rows = (spark.range(1, 200_001).select(
+        F.lit("+long").alias("_series"), F.col("id").alias("_pos"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7.0).alias("full"),
+        F.when(F.col("id") % 200 == 0, F.sin("id")).alias("rare"))
+        .unionByName(spark.range(1, 4).select(
+            F.lit("+short").alias("_series"), F.col("id").alias("_pos"), F.col("id").cast("double").alias("full"),
+            F.lit(None).cast("double").alias("rare"))))
+    got = {r["_series"]: r for r in exact_quantiles(rows, ["full", "rare"], [0.01, 0.99], block_rows=4096).collect()}
+    long = rows.where("_series = '+long'").toPandas()
+    for c in ("full", "rare"):
+        for i, p in enumerate((0.01, 0.99)):
+            assert got["+long"][quantile_name(c, i)] == pytest.approx(long[c].quantile(p), rel=1e-12)
+    assert got["+short"]["_q0_full"] == pytest.approx(1.02) and got["+short"]["_q0_rare"] is None
 
 
 @pytest.mark.parametrize("block_rows", [512, 65536])
