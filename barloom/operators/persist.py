@@ -1,6 +1,13 @@
-"""Saving and loading a trained model with everything scoring needs."""
+"""Saving and loading a trained model with everything scoring needs.
+
+A save goes to a folder of its own. When all of it is written, one line in the
+manifest beside the folders names it: this is the commit. Loading reads the
+manifest first, so it never sees a save that broke off, and a reader keeps the
+files of the save it opened while a newer one is written.
+"""
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -19,6 +26,10 @@ METADATA = (
 )
 
 
+# One line per committed save, in the order of ``number``.
+MANIFEST = "number long, version string, folder string, committed_at timestamp_ntz"
+
+
 @dataclass(frozen=True)
 class SavedModel:
     model: PipelineModel
@@ -36,10 +47,16 @@ def save_model(
     version: str = config.MODEL_VERSION,
     at: Column | None = None,
 ) -> str:
-    """Write model, fitted statistics, category codes, clip bounds, importances
-    and metadata under ``path/version``. Returns that folder."""
+    """Write model, fitted statistics, category codes, clip bounds, importances and metadata
+    to a new folder below ``path/saves``, then commit it as the latest save of ``version``.
+
+    Returns the folder. Without the commit, the save before stays the latest one.
+    """
     spark = bounds.sparkSession
-    folder = f"{path.rstrip('/')}/{version}"
+    path = path.rstrip("/")
+    name = f"{version}-{uuid.uuid4().hex}"
+    folder = f"{path}/saves/{name}"
+    at = F.localtimestamp() if at is None else at
     training.model.write().overwrite().save(f"{folder}/model")
     preprocessor.statistics.to_table(spark).coalesce(1).write.mode("overwrite").parquet(
         f"{folder}/statistics"
@@ -56,26 +73,57 @@ def save_model(
         json.dumps({"scale": preprocessor.scale, "summary": training.metrics}),
         preprocessor.features,
     )
-    at = F.localtimestamp() if at is None else at
     stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
     spark.createDataFrame([row], METADATA).withColumn("save_timestamp", stamp).coalesce(
         1
     ).write.mode("overwrite").json(f"{folder}/metadata")
+    _commit(spark, path, version, name, at)
     return folder
 
 
+def saves(spark: SparkSession, path: str) -> DataFrame:
+    """The committed saves below ``path`` (``MANIFEST``); none if nothing was saved."""
+    try:
+        return spark.read.schema(MANIFEST).json(f"{path.rstrip('/')}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def _commit(spark: SparkSession, path: str, version: str, name: str, at: Column) -> None:
+    number = (saves(spark, path).agg(F.max("number")).first()[0] or 0) + 1
+    # A single file, which appears under its name when it is whole.
+    spark.range(1).select(
+        F.lit(number).cast("long").alias("number"), F.lit(version).alias("version"),
+        F.lit(name).alias("folder"), at.cast("timestamp_ntz").alias("committed_at"),
+    ).coalesce(1).write.mode("append").json(f"{path}/manifest")
+
+
+def _latest(spark: SparkSession, path: str, version: str | None) -> tuple[str, str]:
+    """Version and folder. Saves that were committed at once have one number; the name decides."""
+    known = saves(spark, path)
+    if version is not None:
+        known = known.where(F.col("version") == version)
+    last = known.orderBy(F.desc("number"), F.desc("folder")).first()
+    if last is None:
+        raise FileNotFoundError(f"no model in {path}" + (f" of version {version}" if version else ""))
+    return last["version"], f"{path.rstrip('/')}/saves/{last['folder']}"
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def load_model(spark: SparkSession, path: str, version: str = config.MODEL_VERSION) -> SavedModel:
-    """Load what ``save_model`` wrote. A missing model is an error, missing
-    metadata is not."""
-    folder = f"{path.rstrip('/')}/{version}"
-    try:
-        statistics = Statistics.from_table(_table(spark, folder, "statistics"))
-    except AnalysisException as e:
-        raise FileNotFoundError(f"no model in {folder}") from e
+def load_model(
+    spark: SparkSession, path: str, version: str | None = config.MODEL_VERSION
+) -> SavedModel:
+    """The latest committed save of a version, of any version with ``None``.
+
+    A missing model is an error, missing metadata is not.
+    """
+    version, folder = _latest(spark, path, version)
+    statistics = Statistics.from_table(_table(spark, folder, "statistics"))
     model = PipelineModel.load(f"{folder}/model")
     scale = True
     try:

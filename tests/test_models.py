@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.evaluate import comparison, metrics, performance_summary, top_features
 from barloom.operators.features import add_features
-from barloom.operators.persist import load_model, model_info, save_model
+from barloom.operators.persist import load_model, model_info, save_model, saves
 from barloom.operators.repair import repair
 from barloom.operators.report import feature_classes, feature_summary
 from barloom.operators.score import check_requests, request_features, score
@@ -158,6 +158,45 @@ def test_a_batch_scores_like_its_requests_alone(spark, run):
     assert alone["model_version"] == "2.5.0"
 
 
+def test_an_interrupted_save_leaves_the_old_model(spark, run, tmp_path, monkeypatch):
+    from barloom.operators import persist
+    _, _, prepared, training = run
+    path = str(tmp_path / "models")
+    assert saves(spark, path).count() == 0
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
+    early = F.lit("2024-01-01").cast("timestamp_ntz")
+    first = save_model(training, prepared.preprocessor, prepared.bounds, path, at=early)
+
+    def fails(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as broken:  # half of the files are written then
+        broken.setattr(persist, "write_importances", fails)
+        with pytest.raises(OSError):
+            save_model(training, prepared.preprocessor, prepared.bounds, path)
+    with monkeypatch.context() as broken:  # all files, but no commit
+        broken.setattr(persist, "_commit", fails)
+        with pytest.raises(OSError):
+            save_model(training, prepared.preprocessor, prepared.bounds, path)
+    assert model_info(load_model(spark, path)).first()["training_date"] == "2024-01-01T00:00:00"
+
+    reader = load_model(spark, path)
+    late = F.lit("2025-01-01").cast("timestamp_ntz")
+    second = save_model(training, prepared.preprocessor, prepared.bounds, path, at=late)
+    assert first != second
+    assert model_info(load_model(spark, path)).first()["training_date"] == "2025-01-01T00:00:00"
+    # What was open before is still whole.
+    assert model_info(reader).first()["training_date"] == "2024-01-01T00:00:00"
+    assert reader.bounds.count() == prepared.bounds.count()
+    save_model(training, prepared.preprocessor, prepared.bounds, path, version="0.9.0")
+    assert load_model(spark, path).version == "1.0.0"
+    assert load_model(spark, path, None).version == "0.9.0"
+    assert [r["number"] for r in saves(spark, path).orderBy("number").collect()] == [1, 2, 3]
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path, "7.0.0")
+
+
 def test_cross_validation_and_grid(run):
     _, _, prepared, _ = run
     rows = prepared.table.where("split = 'train'")
