@@ -7,6 +7,7 @@ from barloom import config
 from barloom.operators.series import BLOCK_ROWS, POS, join_per_series, series_lengths
 
 PARTS = ("train", "validation", "test")
+MOST_FOLDS = 63  # bits of a long that are no sign
 
 
 def check_ratios(ratios: tuple[float, float, float]) -> None:
@@ -61,16 +62,39 @@ def fold_bounds(n: Column, fold: int, n_folds: int = config.N_FOLDS) -> tuple[Co
     return last_train, last_train + test_rows
 
 
+def with_folds(
+    df: DataFrame, n_folds: int = config.N_FOLDS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """All rows with ``_train_folds`` and ``_test_folds``: bit i tells whether the row
+    is in that part of fold i. One join, however many folds there are."""
+    if not 1 <= n_folds <= MOST_FOLDS:
+        raise ValueError(f"there can be 1 to {MOST_FOLDS} folds, got {n_folds}")
+    train, test = F.lit(0).cast("long"), F.lit(0).cast("long")
+    for i in range(n_folds):
+        last_train, last_test = fold_bounds(F.col("_n"), i, n_folds)
+        bit, pos = F.lit(1 << i).cast("long"), F.col(POS)
+        train = train.bitwiseOR(F.when(pos <= last_train, bit).otherwise(0))
+        test = test.bitwiseOR(F.when((pos > last_train) & (pos <= last_test), bit).otherwise(0))
+    joined = join_per_series(df, series_lengths(df), block_rows)
+    return joined.withColumns({"_train_folds": train, "_test_folds": test}).drop("_n")
+
+
+def fold_part(df: DataFrame, fold: int, role: str) -> DataFrame:
+    """The ``train`` or ``test`` rows of a fold, out of a table ``with_folds``."""
+    return df.where(F.col(f"_{role}_folds").bitwiseAND(F.lit(1 << fold)) != 0).drop(
+        "_train_folds", "_test_folds")
+
+
 def add_fold(
     df: DataFrame, fold: int, n_folds: int = config.N_FOLDS, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Rows of one fold with ``role`` train or test; later rows are left out."""
-    last_train, last_test = fold_bounds(F.col("_n"), fold, n_folds)
-    role = F.when(F.col(POS) <= last_train, "train").when(F.col(POS) <= last_test, "test")
-    return (
-        join_per_series(df, series_lengths(df), block_rows)
-        .withColumn("role", role).where(F.col("role").isNotNull()).drop("_n")
-    )
+    marked = with_folds(df, n_folds, block_rows)
+    bit = F.lit(1 << fold)
+    role = F.when(F.col("_train_folds").bitwiseAND(bit) != 0, "train").when(
+        F.col("_test_folds").bitwiseAND(bit) != 0, "test")
+    return marked.withColumn("role", role).where(F.col("role").isNotNull()).drop(
+        "_train_folds", "_test_folds")
 
 
 def fold_counts(df: DataFrame, n_folds: int = config.N_FOLDS) -> DataFrame:

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from barloom import config
 from barloom.operators.evaluate import METRICS, metrics
-from barloom.operators.split import add_fold
+from barloom.operators.series import POS, SERIES
+from barloom.operators.split import fold_part, with_folds
+from barloom.session import stored
 
 MODEL_TYPES = ("random_forest",)
 CV_METRICS = ("mse", "rmse", "mae", "r2")
@@ -74,10 +76,16 @@ def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature")
 
 
-def _fold_scores(df, fold, n_folds, features, target, params) -> tuple:
-    rows = add_fold(df, fold, n_folds)
-    model = fit(rows.where("role = 'train'"), features, target, **params)
-    scored = predict(model, rows.where("role = 'test'")).withColumn("fold", F.lit(fold))
+def _marked(df: DataFrame, features: Sequence[str], target: str, n_folds: int) -> DataFrame:
+    """What the fits of all folds and parameters read: the needed columns, stored once,
+    with the folds as bits. Every fit is a scan with a filter."""
+    columns = list(dict.fromkeys([SERIES, POS, *features, target]))
+    return stored(with_folds(df.select(*columns), n_folds), "folds")
+
+
+def _fold_scores(marked, fold, features, target, params) -> tuple:
+    model = fit(fold_part(marked, fold, "train"), features, target, **params)
+    scored = predict(model, fold_part(marked, fold, "test")).withColumn("fold", F.lit(fold))
     row = metrics(scored, by=("fold",), actual=target).first()
     return (fold, *(row[m] for m in CV_METRICS))
 
@@ -92,12 +100,12 @@ def cross_validate(
 ) -> DataFrame:
     """MSE, RMSE, MAE and R2 of each expanding-window fold: one fit per fold.
 
-    ``df`` holds the training part with its positions; every fold reads it, so
-    pass a stored table.
+    ``df`` holds the training part with its positions.
     """
+    marked = _marked(df, features, target, n_folds)
     with ThreadPoolExecutor(parallel) as pool:
         scores = list(pool.map(
-            lambda i: _fold_scores(df, i, n_folds, features, target, params), range(n_folds)
+            lambda i: _fold_scores(marked, i, features, target, params), range(n_folds)
         ))
     columns = ", ".join(f"{m} double" for m in CV_METRICS)
     return df.sparkSession.createDataFrame(scores, f"fold int, {columns}")
@@ -123,9 +131,10 @@ def grid_search(
     names = list(grid)
     combos = [dict(zip(names, values)) for values in product(*grid.values())]
     jobs = [(c, i) for c in range(len(combos)) for i in range(n_folds)]
+    marked = _marked(df, features, target, n_folds)
     with ThreadPoolExecutor(parallel) as pool:
         scores = list(pool.map(
-            lambda job: (job[0], _fold_scores(df, job[1], n_folds, features, target, combos[job[0]])),
+            lambda job: (job[0], _fold_scores(marked, job[1], features, target, combos[job[0]])),
             jobs,
         ))
     rows = []

@@ -22,9 +22,9 @@ from barloom.operators.prepare import Statistics, category_codes, encode
 from barloom.operators.repair import clip, clip_bounds, fill_gaps, repair
 from barloom.operators.report import feature_classes, feature_summary, pipeline_summary
 from barloom.operators.score import check_requests, score
-from barloom.operators.series import POS, drop_working_columns, number_rows, with_known_positions
+from barloom.operators.series import POS, SERIES, drop_working_columns, number_rows, with_known_positions
 from barloom.operators.split import (
-    add_fold, add_split, fold_counts, split_counts,
+    add_split, fold_counts, fold_part, split_counts, with_folds,
 )
 from barloom.operators.train import cross_validate, cv_summary, grid_search, importances, predict, train
 from barloom.operators.validate import quality_report, quality_summary, unreadable_values
@@ -414,8 +414,10 @@ def x_folds(spark, sf):
 @query
 def x_fold_rows(spark, sf):
     bars = stored(event_bars(spark, sf), "bars")
-    folds = [add_fold(bars, i).select(F.lit(i).alias("fold"), "Symbol", "SNo", "role") for i in range(N_FOLDS)]
-    return reduce(DataFrame.unionByName, folds)
+    marked = stored(with_folds(bars.select(SERIES, POS, "Symbol", "SNo"), N_FOLDS), "folds")
+    parts = [fold_part(marked, i, role).select(F.lit(i).alias("fold"), "Symbol", "SNo", F.lit(role).alias("role"))
+             for i in range(N_FOLDS) for role in ("train", "test")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Models and metrics. The first three judge a rule that needs no training: the

@@ -7,7 +7,7 @@ from barloom.operators.prepare import Preprocessor, Statistics, category_codes,
 from barloom.operators.quantiles import exact_quantiles, quantile_name
 from barloom.operators.repair import clip_bounds, fill_gaps, repair
 from barloom.operators.series import with_known_positions
-from barloom.operators.split import add_fold, add_split, fold_counts, split_counts
+from barloom.operators.split import add_fold, add_split, fold_counts, fold_part, split_counts, with_folds
 from barloom.schema import parse_date
 from tests.series_data import make_bars, to_spark
 
@@ -169,6 +169,23 @@ def test_folds(spark):
     assert fold[fold["role"] == "train"]["_pos"].max() < fold[fold["role"] == "test"]["_pos"].min()
 
 
+def test_all_folds_of_one_table(spark):
+    """Series of several lengths, more folds than rows in some; the marks tell the parts of each fold."""
+    df = positioned(spark, make_bars({"AAA": 1300, "BBB": 7, "CCC": 2}))
+    marked = with_folds(df, 5, block_rows=512).select("Symbol", "_pos", "_train_folds", "_test_folds").cache()
+    assert marked.count() == 1309
+    for i in range(5):
+        want = {(r.Symbol, r.role): (r.rows, r.first_row, r.last_row)
+                for r in fold_counts(df, 5).where(F.col("fold") == i).collect() if r.rows}
+        got = {(r.Symbol, role): (r.n, r.low, r.high) for role in ("train", "test") for r in
+               fold_part(marked, i, role).groupBy("Symbol").agg(
+                   F.count("*").alias("n"), F.min("_pos").alias("low"), F.max("_pos").alias("high")).collect()}
+        assert got == want
+    for wrong in (0, 64):
+        with pytest.raises(ValueError):
+            with_folds(df, wrong)
+
+
 def test_codes_are_sorted_and_unseen_is_minus_one(spark):
     bars = make_bars({"BBB": 3, "AAA": 3, "CCC": 2})
     df = positioned(spark, bars)
