@@ -8,13 +8,13 @@ the entity; 0: it says nothing). A word that reveals ``GENERALISE_FROM`` or more
 entity is replaced by a general one, from ``REMOVE_FROM`` on it is removed, wherever it
 stands outside base spans. Only words that stand in ``LEAST_TEXTS`` different
 texts with an entity count, wherever in them, so that a text and its copies prove nothing; a
-passage that many different texts share does. Where an entity's texts agree in more than
-``MOST_TOLD`` such words they are near copies, and prove nothing either.
+passage that many different texts share does, however long it is. Texts are different if they are in
+different groups of near copies (``COPY_PERCENT`` of the shingles or more).
 
 The same information is taken about a whole kind of entity (identifiers, long runs of letters and
 digits, are a further kind), and about any of them:
-a word beside ``LEAST_VALUES`` different values and ``LEAST_SHARE`` of all, or more, that mostly stands
-in documents with such data is a cue. A cue is treated as any telling word, and the identifiers it points to (``token =
+a word beside ``LEAST_VALUES`` different values or more that mostly stands in documents with such data
+is a cue (a document with several values counts for the first of them). A cue is treated as any telling word, and the identifiers it points to (``token =
 "..."``) are telling by what they are: words that hardly any other document holds.
 
 A word is a run without white space, less punctuation at its ends, in lower case; it has
@@ -36,16 +36,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barloom.llm.near_copies import near_copies
 from barloom.llm.words import free_name, freeing, map_texts, slices, split_words, texts_of
 from barloom.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST_TEXTS = 3
-# Texts that agree in more telling words than this are copies of a text and prove nothing.
-MOST_TOLD = 64
-# A word tells a kind of entity only if it stands beside so many different ones, and beside this share of all.
+# Texts that share so many of their shingles are near copies: together they prove as much as one of them.
+COPY_PERCENT = 80
+# A word tells a kind of entity only if it stands beside so many different ones.
 LEAST_VALUES = 8
-LEAST_SHARE = 0.01
+# One in so many documents is counted first, to see which words stand in too many in any case.
+SIEVE = 8
 ANY = "any"
 SECRET = "secret"
 # The words behind a cue that may be identifiers.
@@ -171,10 +173,27 @@ def find_base(docs: DataFrame) -> DataFrame:
     return map_texts(_keyed(docs), work, _FOUND)
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _text_key() -> Column:
+    return F.xxhash64(_text())
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
-                       text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"),
+                       _text().alias("text"))
+
+
+def _sieved(text_key: Column | str) -> Column:
+    """Whether a text is one of those that are counted first."""
+    return F.pmod(text_key, F.lit(SIEVE)) == 0
+
+
+def _most(both: Column, n: int, n_entity: Column) -> Column:
+    """From so many texts on a word reveals less than GENERALISE_FROM; a little more, as doubles are not exact."""
+    return both * F.pow(F.lit(float(n)) / n_entity, F.lit(1 - GENERALISE_FROM)) * 1.000001
 
 
 def word_filter(words: DataFrame) -> np.ndarray:
@@ -259,13 +278,30 @@ def words_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return found.groupBy("text_key").agg(F.first("words").alias("words"))
 
 
+def copies_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """text_key, copies: the group of near copies that each text of ``keys(text_key)`` is in, among them."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        word_filter(keys.select(F.col("text_key").cast("string").alias("word"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_passing(batch.column("text_key").cast(pa.string()), shared.value)))
+
+    asked = _keyed(docs).select("text_key", "text").mapInArrow(freeing(run), "text_key long, text string")
+    texts = stored(asked.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+                   .withColumnRenamed("text_key", "doc_id"), "shared-texts")
+    return near_copies(texts, COPY_PERCENT).select(
+        F.col("doc_id").alias("text_key"), F.col("component_id").alias("copies"))
+
+
 def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     """word, revealed, cue: the words that reveal an entity or its kind, and how much at most.
 
     ``found`` is what ``find_base`` gave for ``docs``. All words of all documents with an
     entity are candidates; counts are of whole documents. Left out early is only what cannot be
-    in the result: entities, and words with them, of fewer than ``LEAST_TEXTS`` texts, words beside
-    fewer than ``LEAST_VALUES`` different values or ``LEAST_SHARE`` of them, and words that stand in too many texts to reveal enough.
+    in the result: entities, and words with them, of fewer than ``LEAST_TEXTS`` different texts, words beside
+    fewer than ``LEAST_VALUES`` different values, and words that stand in too many texts to reveal enough:
+    in those with an entity alone, or in these and one in ``SIEVE`` of the others. What is left is counted in all documents.
     """
     n = docs.count()
     # Equal texts are brought together; n is the number of their documents.
@@ -280,48 +316,52 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     entities = held.groupBy("entity").agg(
         F.count("*").alias("different"), F.sum("n").alias("n_entity")).where(
         (F.col("different") >= LEAST_TEXTS) & (F.col("n_entity") < n)).drop("different")
-    held = stored(held.join(entities, "entity"), "entity-texts-asked")
+    held = stored(held.join(entities, "entity"), "entity-texts-shared")
+    held = stored(held.join(copies_of(docs, held.select("text_key").distinct()), "text_key"), "entity-texts-grouped")
+    several = held.groupBy("entity").agg(F.countDistinct("copies").alias("different")).where(
+        F.col("different") >= LEAST_TEXTS).select("entity")
+    held = stored(held.join(several, "entity", "left_semi"), "entity-texts-asked")
     pairs = stored(
-        held.join(words, "text_key").select("entity", "n_entity", "n", F.explode("words").alias("word"))
-        .groupBy("entity", "n_entity", "word").agg(F.count("*").alias("different"), F.sum("n").alias("both"))
+        held.join(words, "text_key").select("entity", "n_entity", "n", "copies", F.explode("words").alias("word"))
+        .groupBy("entity", "n_entity", "word")
+        .agg(F.countDistinct("copies").alias("different"), F.sum("n").alias("both"))
         .where(F.col("different") >= LEAST_TEXTS), "entity-words")
 
     # A whole kind, or personal data of any kind: words beside many different values.
-    values = texts.select(F.array_min("entities").alias("value")).distinct().count()
-    beside_least = max(LEAST_VALUES, math.ceil(LEAST_SHARE * values))
     def holds(kind: str) -> Column:
         return F.exists("entities", lambda e: e.startswith(f"{kind}:"))
 
     of_kind = {k: holds(k) for k in (*KINDS, SECRET)} | {ANY: F.lit(True)}
     totals = texts.agg(*[F.sum(F.when(has, F.col("n"))).alias(k) for k, has in of_kind.items()]).first().asDict()
-    marked = texts.select("text_key", "n", F.array_min("entities").alias("value"),
-                          *[has.alias(f"has_{k}") for k, has in of_kind.items()])
+    marked = texts.select("text_key", "n", F.when(~_sieved("text_key"), F.col("n")).alias("unsieved"),
+                          F.array_min("entities").alias("value"), *[has.alias(f"has_{k}") for k, has in of_kind.items()])
     beside = marked.join(words, "text_key").withColumn("word", F.explode("words")).groupBy("word", "value").agg(
-        F.sum("n").alias("least"), *[F.sum(F.when(F.col(f"has_{k}"), F.col("n"))).alias(k) for k in of_kind])
+        F.sum("unsieved").alias("unsieved"), *[F.sum(F.when(F.col(f"has_{k}"), F.col("n"))).alias(k) for k in of_kind])
     # Of near copies, all with one value, the word stands beside one value only.
-    kinds = stored(beside.groupBy("word").agg(
-        F.count("*").alias("values"), F.sum("least").alias("least"),
+    kinds = beside.groupBy("word").agg(
+        F.count("*").alias("values"), F.sum("unsieved").alias("unsieved"),
         *[F.sum(k).alias(k) for k in of_kind], *[F.count(k).alias(f"values_{k}") for k in of_kind],
-    ).where(F.col("values") >= beside_least), "kind-words")
+    ).where(F.col("values") >= LEAST_VALUES)
+    told_by = [k for k in of_kind if 0 < (totals[k] or 0) < n]
+    bounds = [F.when(F.col(f"values_{k}") >= LEAST_VALUES, _most(F.col(k), n, F.lit(totals[k]))) for k in told_by]
+    kinds = stored(kinds.withColumn("most", F.greatest(*bounds, F.lit(-1.0), F.lit(-1.0))), "kind-words")
+    first = document_counts(docs.where(_sieved(_text_key())), kinds.select("word"))
+    kinds = stored(kinds.join(first, "word", "left").where(
+        F.coalesce("unsieved", F.lit(0)) + F.coalesce("texts", F.lit(0)) <= F.col("most")).drop("texts"), "kind-words-left")
 
     own = F.log(F.lit(n) / F.col("n_entity"))
-    # From so many texts on a word reveals less than GENERALISE_FROM; a little more, as doubles are not exact.
-    most = F.col("both") * F.pow(F.lit(float(n)) / F.col("n_entity"), F.lit(1 - GENERALISE_FROM)) * 1.000001
+    most = _most(F.col("both"), n, F.col("n_entity"))
     least = held.select("text_key", "n").distinct().join(words, "text_key").select(
         "n", F.explode("words").alias("word")).groupBy("word").agg(F.sum("n").alias("least"))
     asked = pairs.groupBy("word").agg(F.max(most).alias("most")).join(least, "word").where("least <= most")
     asked = stored(asked.select("word").union(kinds.select("word")).distinct(), "asked-words")
     counts = stored(document_counts(docs, asked), "asked-counts")
     mutual = F.log(F.col("both") * F.lit(float(n)) / (F.col("n_entity") * F.col("texts")))
-    told = pairs.join(counts, "word").select("entity", "word", (mutual / own).alias("revealed")).where(
-        F.col("revealed") >= GENERALISE_FROM)
-    told = stored(told, "told")
-    copies = told.groupBy("entity").count().where(F.col("count") > MOST_TOLD).select("entity")
-    of_values = (told.join(copies, "entity", "left_anti").groupBy("word").agg(F.max("revealed").alias("revealed"))
+    of_values = (pairs.join(counts, "word").groupBy("word").agg(F.max(mutual / own).alias("revealed"))
                  .withColumn("cue", F.lit(False)))
-    shares = [F.when(F.col(f"values_{k}") >= beside_least, F.log(
+    shares = [F.when(F.col(f"values_{k}") >= LEAST_VALUES, F.log(
         F.col(k) * F.lit(float(n)) / (F.lit(float(totals[k])) * F.col("texts"))) / math.log(n / totals[k]))
-        for k in of_kind if 0 < (totals[k] or 0) < n]
+        for k in told_by]
     if shares:
         cues = kinds.join(counts, "word").select("word", F.greatest(*shares, F.lit(-1.0)).alias("revealed"),
                                                  F.lit(True).alias("cue"))

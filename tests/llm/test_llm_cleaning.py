@@ -135,6 +135,62 @@ def test_words_that_reveal_a_kind_and_what_they_point_to(spark):
     assert re.search("[0-9a-f]{40}", texts[300])
 
 
+def counted(text):
+    return {w for w in (x.strip(disclosure.PUNCTUATION).lower() for x in re.findall(r"[^\x20\x09-\x0D]+", text))
+            if any(c.isalpha() for c in w)}
+
+
+def long_passage():
+    """Different texts around a passage of 100 words and an address, near copies around another, and the words of both."""
+    passage = " ".join(f"{a}{b}x" for a in "bcdfghjklm" for b in "npqrstvwyz")
+    rows = [(i, f"{prose(i, 2)}\n{passage} Zanthor ann@x.org\n{prose(i + 100, 12)}") for i in range(6)]
+    rows += [(i, f"{prose(7000, 5)} xylograph w{i} one@and.only") for i in range(400, 430)]
+    # With two different texts these are three pieces of evidence for 'qorvex', and one for the other words.
+    rows += [(i, f"{prose(7100, 5)} quagga qorvex w{i} two@and.only") for i in range(500, 510)]
+    rows += [(i, f"{prose(i, 5)} qorvex two@and.only") for i in (510, 511)]
+    rows += [(i, prose(i, 4)) for i in range(1000, 1150)]
+    return rows, counted(passage) | {"zanthor"}
+
+
+def test_long_passages_are_evidence_and_near_copies_are_not(spark):
+    rows, passage = long_passage()
+    docs = docs_of(spark, rows)
+    told = {r["word"]: r["revealed"] for r in disclosure.telling_words(docs, disclosure.find_base(docs)).collect()
+            if not r["cue"]}
+    own, n, plain = {i: counted(t) for i, t in rows}, len(rows), {}
+    different = {i: 400 if 400 <= i < 430 else 500 if 500 <= i < 510 else i for i in own}
+    for entity in ("ann@x.org", "one@and.only", "two@and.only"):
+        held = [i for i, t in rows if entity in t]
+        for w in set().union(*(own[i] for i in held)):
+            has = [i for i in held if w in own[i]]
+            revealed = math.log(len(has) * n / (len(held) * sum(w in x for x in own.values()))) / math.log(n / len(held))
+            if len({different[i] for i in has}) >= 3 and revealed >= max(disclosure.GENERALISE_FROM, plain.get(w, 0)):
+                plain[w] = revealed
+    assert told == {w: pytest.approx(x) for w, x in plain.items()}
+    assert len(passage) > 100 and passage | {"qorvex"} <= told.keys() and not {"xylograph", "quagga"} & told.keys()
+
+
+def test_cues_beside_few_of_many_values(spark):
+    """'token' stands beside eight of 1,008 values."""
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(i, f"{prose(i, 1)} token = \"{digest(i)}\"") for i in range(8)]
+    rows += [(i, f"{prose(i, 2)} u{i}@x{i}.org{' gnomon' * (i % 90 == 0)}") for i in range(1000, 2000)]
+    rows += [(i, prose(i, 2) + " gnomon" * (i == 3000)) for i in range(3000, 4000)]
+    docs = docs_of(spark, rows)
+    told = {r["word"]: r["revealed"] for r in disclosure.telling_words(docs, disclosure.find_base(docs)).collect()
+            if r["cue"]}
+    own, n, plain = {i: counted(t) for i, t in rows}, len(rows), {}
+    for has in (range(1000, 2000), range(8), [*range(8), *range(1000, 2000)]):
+        for w in set().union(*(own[i] for i in has)):
+            both, texts = sum(w in own[i] for i in has), sum(w in x for x in own.values())
+            revealed = math.log(both * n / (len(has) * texts)) / math.log(n / len(has))
+            if both >= disclosure.LEAST_VALUES and revealed >= max(disclosure.GENERALISE_FROM, plain.get(w, 0)):
+                plain[w] = revealed
+    assert told == {w: pytest.approx(x) for w, x in plain.items()} and told["token"] == pytest.approx(1)
+    texts = {r["doc_id"]: r["text"] for r in disclosure.sanitise(docs).where("doc_id < 8").collect()}
+    assert not any(re.search("[0-9a-f]{40}", x) for x in texts.values())
+
+
 def test_spans_of_odd_rows(spark):
     docs = docs_of(spark, odd_rows() + [(40, "mail a@b.co")])
     got = disclosure.find_spans(clashing(docs)).collect()
