@@ -308,7 +308,16 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     texts = stored(
         found.where(F.size("entities") > 0).groupBy("text_key")
         .agg(F.count("*").alias("n"), F.first("entities").alias("entities")), "entity-texts")
-    words = stored(words_of(docs, texts), "entity-text-words")
+    # A text's words are many bytes: what goes with them comes to them, and they are exchanged once.
+    def holds(kind: str) -> Column:
+        return F.exists("entities", lambda e: e.startswith(f"{kind}:"))
+
+    of_kind = {k: holds(k) for k in (*KINDS, SECRET)} | {ANY: F.lit(True)}
+    marked = texts.select("text_key", "n", F.when(~_sieved("text_key"), F.col("n")).alias("unsieved"),
+                          F.xxhash64(F.array_min("entities")).alias("value"),
+                          *[has.alias(f"has_{k}") for k, has in of_kind.items()])
+    marked = stored(words_of(docs, texts).join(marked, "text_key"), "entity-text-words")
+    words = marked.select("text_key", "words")
 
     # One value at a time: entities that several texts share.
     held = texts.select("text_key", "n", F.explode("entities").alias("entity")).where(
@@ -328,14 +337,8 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
         .where(F.col("different") >= LEAST_TEXTS), "entity-words")
 
     # A whole kind, or personal data of any kind: words beside many different values.
-    def holds(kind: str) -> Column:
-        return F.exists("entities", lambda e: e.startswith(f"{kind}:"))
-
-    of_kind = {k: holds(k) for k in (*KINDS, SECRET)} | {ANY: F.lit(True)}
     totals = texts.agg(*[F.sum(F.when(has, F.col("n"))).alias(k) for k, has in of_kind.items()]).first().asDict()
-    marked = texts.select("text_key", "n", F.when(~_sieved("text_key"), F.col("n")).alias("unsieved"),
-                          F.array_min("entities").alias("value"), *[has.alias(f"has_{k}") for k, has in of_kind.items()])
-    beside = marked.join(words, "text_key").withColumn("word", F.explode("words")).groupBy("word", "value").agg(
+    beside = marked.withColumn("word", F.explode("words")).groupBy("word", "value").agg(
         F.sum("unsieved").alias("unsieved"), *[F.sum(F.when(F.col(f"has_{k}"), F.col("n"))).alias(k) for k in of_kind])
     # Of near copies, all with one value, the word stands beside one value only.
     kinds = beside.groupBy("word").agg(
