@@ -170,6 +170,15 @@ def test_long_passages_are_evidence_and_near_copies_are_not(spark):
     assert len(passage) > 100 and passage | {"qorvex"} <= told.keys() and not {"xylograph", "quagga"} & told.keys()
 
 
+def test_the_pipeline_takes_words_of_long_passages_out(spark):
+    import corpus_pipeline
+
+    rows, passage = long_passage()
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.personal(spark, docs_of(spark, rows), "").collect()}
+    assert len(texts) == len(rows) and not any(passage & counted(texts[i]) for i in range(6))
+    assert all("xylograph" in texts[i] for i in range(400, 430)) and all("quagga" in texts[i] for i in range(500, 510))
+
+
 def test_cues_beside_few_of_many_values(spark):
     """'token' stands beside eight of 1,008 values."""
     digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
