@@ -14,7 +14,8 @@ different groups of near copies (``COPY_PERCENT`` of the shingles or more).
 The same information is taken about a whole kind of entity (identifiers, long runs of letters and
 digits, are a further kind), and about any of them:
 a word beside ``LEAST_VALUES`` different values or more that mostly stands in documents with such data
-is a cue (a document with several values counts for the first of them). A cue is treated as any telling word, and the identifiers it points to (``token =
+is a cue. All values of a document count; as many documents must differ in theirs, so that one with
+many values, and its copies, prove nothing. A cue is treated as any telling word, and the identifiers it points to (``token =
 "..."``) are telling by what they are: words that hardly any other document holds.
 
 A word is a run without white space, less punctuation at its ends, in lower case; it has
@@ -28,6 +29,8 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ KINDS = ("email", "ip", "card", "phone")
 LEAST_TEXTS = 3
 # Texts that share so many of their shingles are near copies: together they prove as much as one of them.
 COPY_PERCENT = 80
-# A word tells a kind of entity only if it stands beside so many different ones.
+# A word tells a kind of entity only if it stands beside so many different ones, in as many texts that differ in theirs.
 LEAST_VALUES = 8
 # One in so many documents is counted first, to see which words stand in too many in any case.
 SIEVE = 8
@@ -300,7 +303,7 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     ``found`` is what ``find_base`` gave for ``docs``. All words of all documents with an
     entity are candidates; counts are of whole documents. Left out early is only what cannot be
     in the result: entities, and words with them, of fewer than ``LEAST_TEXTS`` different texts, words beside
-    fewer than ``LEAST_VALUES`` different values, and words that stand in too many texts to reveal enough:
+    fewer than ``LEAST_VALUES`` different values or sets of values, and words that stand in too many texts to reveal enough:
     in those with an entity alone, or in these and one in ``SIEVE`` of the others. What is left is counted in all documents.
     """
     n = docs.count()
@@ -314,7 +317,9 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     of_kind = {k: holds(k) for k in (*KINDS, SECRET)} | {ANY: F.lit(True)}
     marked = texts.select("text_key", "n", F.when(~_sieved("text_key"), F.col("n")).alias("unsieved"),
-                          F.xxhash64(F.array_min("entities")).alias("value"),
+                          F.xxhash64("entities").alias("value_set"),
+                          # A text with more values than that has enough: so many of them tell it as all do.
+                          F.transform(F.slice("entities", 1, LEAST_VALUES), lambda e: F.xxhash64(e)).alias("values"),
                           *[has.alias(f"has_{k}") for k, has in of_kind.items()])
     marked = stored(words_of(docs, texts).join(marked, "text_key"), "entity-text-words")
     words = marked.select("text_key", "words")
@@ -336,21 +341,29 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
         .agg(F.countDistinct("copies").alias("different"), F.sum("n").alias("both"))
         .where(F.col("different") >= LEAST_TEXTS), "entity-words")
 
-    # A whole kind, or personal data of any kind: words beside many different values.
+    # A whole kind, or personal data of any kind: words beside many different values, in texts that differ in theirs.
     totals = texts.agg(*[F.sum(F.when(has, F.col("n"))).alias(k) for k, has in of_kind.items()]).first().asDict()
-    beside = marked.withColumn("word", F.explode("words")).groupBy("word", "value").agg(
+    beside = marked.withColumn("word", F.explode("words")).groupBy("word", "value_set").agg(
         F.sum("unsieved").alias("unsieved"), *[F.sum(F.when(F.col(f"has_{k}"), F.col("n"))).alias(k) for k in of_kind])
-    # Of near copies, all with one value, the word stands beside one value only.
+    # Copies, all with the same values, are one set of values.
     kinds = beside.groupBy("word").agg(
-        F.count("*").alias("values"), F.sum("unsieved").alias("unsieved"),
-        *[F.sum(k).alias(k) for k in of_kind], *[F.count(k).alias(f"values_{k}") for k in of_kind],
-    ).where(F.col("values") >= LEAST_VALUES)
+        F.count("*").alias("sets"), F.sum("unsieved").alias("unsieved"),
+        *[F.sum(k).alias(k) for k in of_kind], *[F.count(k).alias(f"sets_{k}") for k in of_kind],
+    ).where(F.col("sets") >= LEAST_VALUES)
     told_by = [k for k in of_kind if 0 < (totals[k] or 0) < n]
-    bounds = [F.when(F.col(f"values_{k}") >= LEAST_VALUES, _most(F.col(k), n, F.lit(totals[k]))) for k in told_by]
+    bounds = [F.when(F.col(f"sets_{k}") >= LEAST_VALUES, _most(F.col(k), n, F.lit(totals[k]))) for k in told_by]
     kinds = stored(kinds.withColumn("most", F.greatest(*bounds, F.lit(-1.0), F.lit(-1.0))), "kind-words")
     first = document_counts(docs.where(_sieved(_text_key())), kinds.select("word"))
     kinds = stored(kinds.join(first, "word", "left").where(
         F.coalesce("unsieved", F.lit(0)) + F.coalesce("texts", F.lit(0)) <= F.col("most")).drop("texts"), "kind-words-left")
+    has = [f"has_{k}" for k in of_kind]
+    values = marked.select("values", *has, F.explode("words").alias("word")).join(kinds.select("word"), "word").select(
+        "word", *has, F.explode("values").alias("value")).groupBy("word", "value").agg(
+        *[F.bool_or(h).alias(h) for h in has]).groupBy("word").agg(
+        *[F.count_if(f"has_{k}").alias(f"values_{k}") for k in of_kind])
+    enough = {k: (F.col(f"sets_{k}") >= LEAST_VALUES) & (F.col(f"values_{k}") >= LEAST_VALUES) for k in told_by}
+    kinds = stored(kinds.join(values, "word").where(
+        reduce(or_, enough.values(), F.lit(False))), "kind-words-beside-values")
 
     own = F.log(F.lit(n) / F.col("n_entity"))
     most = _most(F.col("both"), n, F.col("n_entity"))
@@ -362,7 +375,7 @@ def telling_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     mutual = F.log(F.col("both") * F.lit(float(n)) / (F.col("n_entity") * F.col("texts")))
     of_values = (pairs.join(counts, "word").groupBy("word").agg(F.max(mutual / own).alias("revealed"))
                  .withColumn("cue", F.lit(False)))
-    shares = [F.when(F.col(f"values_{k}") >= LEAST_VALUES, F.log(
+    shares = [F.when(enough[k], F.log(
         F.col(k) * F.lit(float(n)) / (F.lit(float(totals[k])) * F.col("texts"))) / math.log(n / totals[k]))
         for k in told_by]
     if shares:

@@ -200,6 +200,51 @@ def test_cues_beside_few_of_many_values(spark):
     assert not any(re.search("[0-9a-f]{40}", x) for x in texts.values())
 
 
+def several_values():
+    """Documents with an address that all of them have and a token of their own, and such whose values prove little."""
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    many = " ".join(f"m{k}@many.org" for k in range(10))
+    rows = [(i, f"{prose(i, 2)} ask help@a.org, token = \"{digest(i)}\" {prose(i + 300, 1)}") for i in range(12)]
+    # Ten values in near copies of one text are one set; eleven sets of four values are four values.
+    rows += [(i, f"{prose(7000, 5)} xylograph w{i} {many}") for i in range(400, 412)]
+    rows += [(i, f"{prose(i, 3)} quagga {' '.join(f'q{k}@four.org' for k in range(4) if (i - 500) >> k & 1)}")
+             for i in range(505, 516)]
+    # Ten values in one text, and seven texts with some of them.
+    rows += [(i, f"{prose(i, 3)} gnomon {many if i == 600 else f'm{i - 600}@many.org'}") for i in range(600, 608)]
+    rows += [(i, prose(i, 3)) for i in range(1000, 1100)]
+    return rows
+
+
+def test_all_values_of_a_document_count(spark):
+    rows = several_values()
+    docs = docs_of(spark, rows)
+    told = {r["word"]: r["revealed"] for r in disclosure.telling_words(docs, disclosure.find_base(docs)).collect()
+            if r["cue"]}
+    own, n, plain = {i: counted(t) for i, t in rows}, len(rows), {}
+    held = {i: frozenset([f"email:{t[s:e]}" for _, s, e in plain_base(t)]
+                         + [f"secret:{x}" for x in re.findall("[0-9a-f]{40}", t)]) for i, t in rows}
+    for kind in ("email:", "secret:", ""):
+        has = {i: any(x.startswith(kind) for x in held[i]) for i in held}
+        for w in set().union(*own.values()):
+            sets = {held[i] for i in own if has[i] and w in own[i]}
+            both, texts = sum(has[i] and w in own[i] for i in own), sum(w in x for x in own.values())
+            if min(len(sets), len(frozenset().union(*sets))) >= disclosure.LEAST_VALUES:
+                revealed = math.log(both * n / (sum(has.values()) * texts)) / math.log(n / sum(has.values()))
+                if revealed >= max(disclosure.GENERALISE_FROM, plain.get(w, 0)):
+                    plain[w] = revealed
+    assert told == {w: pytest.approx(x) for w, x in plain.items()}
+    assert {"token", "gnomon"} <= told.keys() and not {"xylograph", "quagga"} & told.keys()
+
+
+def test_the_pipeline_takes_tokens_beside_a_shared_address_out(spark):
+    import corpus_pipeline
+
+    docs = docs_of(spark, several_values())
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.personal(spark, docs, "").collect()}
+    assert not any(re.search("[0-9a-f]{40}", texts[i]) for i in range(12))
+    assert all("xylograph" in texts[i] for i in range(400, 412)) and all("quagga" in texts[i] for i in range(505, 516))
+
+
 def test_spans_of_odd_rows(spark):
     docs = docs_of(spark, odd_rows() + [(40, "mail a@b.co")])
     got = disclosure.find_spans(clashing(docs)).collect()
